@@ -4,9 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import language, mixing, token_counts
 from .common import table
 
+#: Where the public tokenizers' vocabulary files are. They are read by the driver and broadcast.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.Vocabulary.from_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs.where(~language.held_out(docs) & docs["doc_id"].isNotNull())))
+
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -14,6 +27,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
+    "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
 }
 
