@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, token_counts
+from . import fingerprints, language, licenses, mixing, token_counts
 from .common import table
 
 #: Where the public tokenizers' vocabulary files are. They are read by the driver and broadcast.
@@ -16,6 +16,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs.where(~language.held_out(docs) & docs["doc_id"].isNotNull())))
@@ -28,6 +36,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op5_license_scan": op5_license_scan,
+    "op6_fingerprints": op6_fingerprints,
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
 }
