@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, licenses, mixing, token_counts
+from . import decontaminate, fingerprints, language, licenses, mixing, quality, token_counts
 from .common import table
 
 #: Where the public tokenizers' vocabulary files are. They are read by the driver and broadcast.
@@ -16,6 +16,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -34,12 +39,18 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.total(mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scan": op5_license_scan,
     "op6_fingerprints": op6_fingerprints,
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES = {
