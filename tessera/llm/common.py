@@ -7,6 +7,9 @@ and ordered in the same way on every run.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +46,15 @@ def pieces(df: DataFrame, each_mb: float = 8.0, most: int = 500_000) -> int:
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: in spark.checkpoint.dir, or a folder of this machine where that is unset, as in tests."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{(base or 'file://' + tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as a table at path: it is made once, and what is lost with an executor is read again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, language, licenses, mixing, quality, substring_dedup, suffix_dedup, token_counts
+from . import decontaminate, fingerprints, language, licenses, mixing, near_dedup, quality, substring_dedup, suffix_dedup, token_counts
 from .common import table
 
 #: Where the public tokenizers' vocabulary files are. They are read by the driver and broadcast.
@@ -15,6 +15,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.Vocabulary.from_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
@@ -53,6 +57,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scan": op5_license_scan,
