@@ -189,3 +189,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
         part = rows.mapInArrow(run, "doc_id long, item_id long, edits long, region_end long")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
+    """Rows of docs that hold no item, in docs' columns, without a shuffle; see leaks() for what holding one means."""
+    sc, columns = docs.sparkSession.sparkContext, docs.schema
+    for index in _indexes(benchmark, edits):
+        sent = sc.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ok = np.ones(batch.num_rows, bool)
+                for i, _, texts in text_blocks(batch.column("text"), 1 << 19):
+                    ok[[i + t for t, *_ in sent.value.search(texts)]] = False
+                yield batch.filter(pa.array(ok))
+
+        docs = docs.mapInArrow(run, columns)
+    return docs

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, SPACED, Rolling, U, blocks, mix, text_blocks, utf8, word_codes, words
-from .common import id_of, pieces, shared_folder, texts, written
+from .common import NO_ID, id_of, pieces, shared_folder, texts, written
 from .components import components
 
 SHINGLE = 4
@@ -233,3 +233,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     out = rows.select("rid", "n", "k1", "k2").join(firsts, ["k1", "k2", "n"], "left").withColumn("rep", F.coalesce(F.when(F.col("n") > 0, F.col("rep")), F.col("rid")))
     out = out.join(final.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("label", "rep")).otherwise(F.col("rid")))
     return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("component")).alias("component_id"), (F.col("rid") == F.col("component")).alias("kept"))
+
+
+def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """docs without the documents that near_duplicates() doesn't keep, by id; in docs' columns."""
+    gone = near_duplicates(docs, percent).where("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone"))
+    gone = written(gone, f"{shared_folder(docs.sparkSession)}/gone")
+    few = gone.count() <= MOST_BROADCAST
+    return docs.join(F.broadcast(gone) if few else gone, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == gone["gone"], "left_anti")

@@ -287,7 +287,7 @@ class Finder:
 
 def dealt(docs: DataFrame, n: int) -> DataFrame:
     """pid, rid, th, text and the other columns of docs as x0, x1...: documents dealt by a hash of the id."""
-    others = [docs[f"`{c}`"].alias(f"x{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    others = [docs[f"`{c}`"].alias(f"x{i}") for i, c in enumerate(x for x in docs.columns if x != "text")]
     rid, text = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(F.pmod(F.hash(rid), F.lit(4 * n)).alias("pid"), rid.alias("rid"), F.xxhash64(text).alias("th"), text.alias("text"), *others)
     return rows.repartition(n, "pid")
