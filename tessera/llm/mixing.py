@@ -28,7 +28,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 
     The budget is ``share`` times all words. Each source gets a part by its weight, at most ``passes`` times its own
     words; what is above is shared again among the others. The level reached is found in closed form: with sources
-    in order of cap / weight, those before the first whose cap / weight is at least the level are full.
+    in order of cap / weight, those before the first whose cap / weight is at least the level are full. From
+    there on the level only falls, so it is the greatest of such.
     The windows here run over one row a source.
     """
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -40,7 +41,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     everything = Window.partitionBy()
     per = per.withColumn("left_over", F.sum("source_size").over(everything) * share - F.coalesce(F.sum("cap").over(before), F.lit(0)))
     per = per.withColumn("level", F.col("left_over") / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))))
-    level = F.min(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(everything)
+    level = F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(everything)
     target = F.least(F.col("cap").cast("double"), F.col("weight") * F.coalesce(level, F.lit(float("inf"))))
     return per.select("source", "source_size", "weight", target.alias("target"))
 
@@ -97,7 +98,7 @@ lev AS (
   FROM per WINDOW w AS (ORDER BY source_size * 2 / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 goal AS (
   SELECT source, source_size,
-         least(CAST(cap AS DOUBLE), weight * coalesce(min(CASE WHEN ratio >= left_over / weight_left THEN left_over / weight_left END) OVER (), 'infinity'::DOUBLE)) AS target
+         least(CAST(cap AS DOUBLE), weight * coalesce(max(CASE WHEN ratio >= left_over / weight_left THEN left_over / weight_left END) OVER (), 'infinity'::DOUBLE)) AS target
   FROM lev),
 served AS (
   SELECT d.doc_id, d.size, g.source_size, g.target,
