@@ -1 +1 @@
-
+"""Column functions: text rules, pattern dictionaries, scores."""

@@ -1 +1 @@
-
+"""Row-wise stages over streams."""
