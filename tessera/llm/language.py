@@ -73,12 +73,12 @@ class Model:
 def fit(docs: DataFrame, smoothing: float = 0.1, max_languages: int = 256) -> Model:
     """From text and lang of all rows in which neither is null. Raises if there are more than max_languages."""
     counted = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counted = counted.mapInArrow(_count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-    names = sorted(r[0] for r in counted.where("feature = -1").select("lang").limit(max_languages + 1).collect())
+    names = sorted(r[0] for r in counted.select("lang").distinct().limit(max_languages + 1).collect())
     if len(names) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    counted = counted.mapInArrow(_count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     rows = counted.toPandas()
-    k = rows["lang"].map({x: i for i, x in enumerate(names)}).to_numpy()
+    k = rows["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(np.int64)
     counts, seen = np.zeros((len(names), 1 << BITS)), np.zeros(len(names))
     f, n = rows["feature"].to_numpy(), rows["n"].to_numpy()
     counts[k[f >= 0], f[f >= 0]] = n[f >= 0]
