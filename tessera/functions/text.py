@@ -97,8 +97,7 @@ def plain_words(c: Column, compose: bool = True) -> Column:
 
 def tokens(c: Column, compose: bool = True) -> Column:
     """Words of two characters or more that aren't stop words."""
-    stop = F.array(*map(F.lit, STOPWORDS))
-    return F.filter(F.split(plain_words(c, compose), " "), lambda w: (F.length(w) > 1) & ~F.array_contains(stop, w))
+    return F.filter(F.split(plain_words(c, compose), " "), lambda w: (F.length(w) > 1) & ~w.isin(STOPWORDS))
 
 
 def shingles(words: Column, size: int = 5) -> Column:
@@ -107,6 +106,12 @@ def shingles(words: Column, size: int = 5) -> Column:
     return F.when(F.size(words) == 0, F.array().cast("array<string>")).when(F.size(words) <= size, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(runs))
 
 
+def shingle_hashes(words: Column, size: int = 5) -> Column:
+    """The same shingles as 64-bit hashes, without building their texts."""
+    runs = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
+    return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).when(F.size(words) <= size, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(F.array_distinct(runs))
+
+
 def barrier(df: DataFrame, *names: str) -> DataFrame:
     """The same rows, with the named columns computed once: an optimiser doesn't copy an expression through a generator."""
     rest = [c for c in df.columns if c not in names]

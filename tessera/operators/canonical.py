@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring as K
 from ..functions import text as X
+from ..sources.tables import spread, staged
 
 THRESHOLD = 0.62
 MAX_POSTINGS = 40
@@ -16,7 +17,7 @@ LEAST_TOKENS = 0.08
 
 def canonical_records(problems: DataFrame, taxonomy: DataFrame | None = None, compose: bool = True) -> DataFrame:
     """Hash and length of the canonical text, with what the taxonomy says of the problem."""
-    df = problems.withColumn("text_", X.canonical_problem(compose, **{f: F.col(f) for f in X.TEXT_FIELDS if f in problems.columns}))
+    df = spread(problems).withColumn("text_", X.canonical_problem(compose, **{f: F.col(f) for f in X.TEXT_FIELDS if f in problems.columns}))
     df = X.barrier(df.select(*[c for c in ("id", "title", "rating", "contest_id", "index", "source", "source_split") if c in df.columns], "text_"), "text_")
     have = lambda c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind).alias(c)
     fields = F.array(*map(F.lit, X.TEXT_FIELDS))
@@ -45,10 +46,10 @@ def exact_summary(canonical: DataFrame) -> DataFrame:
 def prepared(problems: DataFrame, compose: bool = True) -> DataFrame:
     """(problem_id, words, title_set, word_set, shingle_set): shingles as 64-bit hashes. The title is no part of the statement."""
     fields = [f for f in X.TEXT_FIELDS if f != "title" and f in problems.columns]
+    problems = spread(problems.select("id", "title", *fields))
     df = problems.select(F.col("id").cast("string").alias("problem_id"), X.tokens(X.joined_fields(*map(F.col, fields)), compose).alias("words"), F.array_distinct(X.tokens(F.col("title"), compose)).alias("title_set"))
     df = X.barrier(df, "words", "title_set")
-    shingles = F.transform(X.shingles(F.col("words")), lambda s: F.xxhash64(s))
-    return X.barrier(df.withColumn("word_set", F.array_distinct("words")).withColumn("shingle_set", F.array_distinct(shingles)), "word_set", "shingle_set")
+    return X.barrier(df.withColumn("word_set", F.array_distinct("words")).withColumn("shingle_set", X.shingle_hashes(F.col("words"))), "word_set", "shingle_set")
 
 
 def candidate_pairs(prepared: DataFrame, max_postings: int = MAX_POSTINGS, min_shared: int = MIN_SHARED) -> DataFrame:
@@ -66,6 +67,25 @@ def candidate_pairs(prepared: DataFrame, max_postings: int = MAX_POSTINGS, min_s
     return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= min_shared)
 
 
+def possible_pairs(prepared: DataFrame, pairs: DataFrame, threshold: float, max_postings: int = MAX_POSTINGS) -> DataFrame:
+    """Pairs that could reach the threshold by the sizes of their sets, so that the sets needn't travel with the others.
+
+    Two problems have no more shingles in common than those counted and the fewer of their frequent ones.
+    """
+    postings = prepared.select("problem_id", F.explode("shingle_set").alias("shingle"))
+    frequent = postings.groupBy("shingle").count().where(F.col("count") > max_postings).select("shingle")
+    often = postings.join(frequent, "shingle").groupBy("problem_id").agg(F.count("*").alias("often"))
+    sizes = prepared.select("problem_id", *[F.size(f"{x}_set").alias(x) for x in ("shingle", "word", "title")]).join(often, "problem_id", "left").fillna(0, ["often"])
+    df = pairs
+    for s in "ab":
+        df = df.join(sizes.select(F.col("problem_id").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("shingle", "word", "title", "often")]), s)
+    least, most = (lambda x: F.least(f"{x}_a", f"{x}_b")), (lambda x: F.greatest(f"{x}_a", f"{x}_b"))
+    common = F.least(F.col("shared") + least("often"), least("shingle"))
+    ratio = lambda x: F.when(most(x) == 0, 1.0).otherwise(least(x) / most(x))
+    best = K.blended(common / (F.col("shingle_a") + F.col("shingle_b") - common), F.lit(1.0), ratio("word"), ratio("title"))
+    return df.where(best >= threshold - 1e-6).select("a", "b", "shared")
+
+
 def _common(x: str) -> Column:
     return F.size(F.array_intersect(f"a_.{x}", f"b_.{x}"))
 
@@ -73,19 +93,22 @@ def _common(x: str) -> Column:
 def near_duplicates(problems: DataFrame, canonical: DataFrame, threshold: float = THRESHOLD, max_postings: int = MAX_POSTINGS, min_shared: int = MIN_SHARED, compose: bool = True) -> DataFrame:
     """Pairs whose blended similarity, rounded, reaches the threshold; equal hashes are left to exact_groups().
 
-    The cosine is the costly part, so pairs that can't reach the threshold with a cosine of 1 are gone before it is computed.
+    The cosine is the costly part, so pairs that can't reach the threshold with a cosine of 1 are gone before it is computed, and
+    only documents of such pairs have their words counted. Tokens and remaining pairs are staged: both are read several times.
     """
-    ready = prepared(problems.join(canonical.select(F.col("problem_id").alias("id")), "id", "left_semi"), compose)
+    ready = staged(prepared(problems.join(canonical.select(F.col("problem_id").alias("id")), "id", "left_semi"), compose))
     facts = canonical.select("problem_id", "title", "rating", F.col("canonical.exact_hash").alias("exact_hash"), F.col("dp.primary_family").alias("family"))
     sets = ready.join(facts, "problem_id").select("problem_id", F.struct("title", "rating", "exact_hash", "family", "title_set", "word_set", "shingle_set").alias("x_"))
-    pairs = candidate_pairs(ready, max_postings, min_shared).select("a", "b")
+    pairs = possible_pairs(ready, candidate_pairs(ready, max_postings, min_shared), threshold, max_postings).select("a", "b")
     df = pairs.join(sets.select(F.col("problem_id").alias("a"), F.col("x_").alias("a_")), "a").join(sets.select(F.col("problem_id").alias("b"), F.col("x_").alias("b_")), "b")
     df = df.where(F.col("a_.exact_hash") != F.col("b_.exact_hash"))
     sizes = lambda x: (F.size(f"a_.{x}"), F.size(f"b_.{x}"))
     df = df.select("a", "b", *[K.jaccard(_common(f"{x}_set"), *sizes(f"{x}_set")).alias(x) for x in ("title", "word", "shingle")], *[F.struct(*[F.col(f"{s}_.{c}") for c in ("title", "rating", "family")]).alias(f"{s}_") for s in "ab"])
     df = X.barrier(df, "title", "word", "shingle").where(F.col("word") >= LEAST_TOKENS)
     df = df.where(K.blended(F.col("shingle"), F.lit(1.0), F.col("word"), F.col("title")) >= threshold - 1e-6)
-    tf = ready.select("problem_id", F.explode("words").alias("word_")).groupBy("problem_id", "word_").agg(F.count("*").alias("tf"))
+    df = staged(df)
+    ends = df.select(F.explode(F.array("a", "b")).alias("problem_id")).distinct()
+    tf = ready.select("problem_id", "words").join(ends, "problem_id", "left_semi").select("problem_id", F.explode("words").alias("word_")).groupBy("problem_id", "word_").agg(F.count("*").alias("tf"))
     norm = tf.groupBy("problem_id").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
     side = lambda s: tf.select(F.col("problem_id").alias(s), "word_", F.col("tf").alias(f"tf_{s}"))
     dot = df.select("a", "b").join(side("a"), "a").join(side("b"), ["b", "word_"]).groupBy("a", "b").agg(F.sum(F.col("tf_a") * F.col("tf_b")).alias("dot"))

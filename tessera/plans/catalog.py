@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import concept_json, patterns as P, scoring as K, text as X
 from ..operators import assemble, canonical, collect, judge, select, signals, taxonomy
 from ..sources import schemas
+from ..sources.tables import staged
 from . import standins as S
 from .oracle import COMPILER, sql
 from .standins import quoted as q
@@ -53,12 +54,13 @@ def canonicals(spark: SparkSession, d: str, tax: DataFrame | None = None) -> Dat
     return canonical.canonical_records(S.problems(spark, d), tax, compose=False)
 
 
-def near(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.near_duplicates(S.problems(spark, d), canonicals(spark, d), compose=False)
+def near(spark: SparkSession, d: str, records: DataFrame | None = None) -> DataFrame:
+    return canonical.near_duplicates(S.problems(spark, d), staged(canonicals(spark, d)) if records is None else records, compose=False)
 
 
-def related(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.relationships(near(spark, d), canonicals(spark, d))
+def related(spark: SparkSession, d: str, records: DataFrame | None = None) -> DataFrame:
+    records = staged(canonicals(spark, d)) if records is None else records
+    return canonical.relationships(near(spark, d, records), records)
 
 
 def candidates_of(spark: SparkSession, d: str, rejects: bool = False) -> DataFrame:
@@ -82,12 +84,13 @@ def verified_of(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pool_of(spark: SparkSession, d: str) -> DataFrame:
-    c = canonicals(spark, d)
-    return assemble.problem_pool(taxonomy_of(spark, d), canonical.problem_groups(c), c, verified_of(spark, d), related(spark, d))
+    """Tables that several steps read are staged, as the flow does between its stages."""
+    c, tax = staged(canonicals(spark, d)), staged(taxonomy_of(spark, d))
+    return assemble.problem_pool(tax, canonical.problem_groups(c), c, assemble.verified(S.results(spark, d), tax, order="event_id"), related(spark, d, c))
 
 
 def examples_of(spark: SparkSession, d: str) -> DataFrame:
-    pool = pool_of(spark, d)
+    pool = staged(pool_of(spark, d))
     ok = assemble.usable(S.results(spark, d), pool, S.problems(spark, d))
     return assemble.examples(ok, pool, assemble.split_ids(ok, "problem_id"))
 
@@ -112,7 +115,7 @@ def exact_dup_summary(spark, d):
 
 @query("SELECT a, b, shared FROM pairs")
 def shingle_pairs(spark, d):
-    return canonical.candidate_pairs(canonical.prepared(S.problems(spark, d), compose=False))
+    return canonical.candidate_pairs(staged(canonical.prepared(S.problems(spark, d), compose=False)))
 
 
 @query("SELECT * FROM near")
@@ -285,13 +288,13 @@ def problem_pool(spark, d):
 @query("""SELECT (SELECT count(*) FROM pool) AS total_dp_candidates, (SELECT count(*) FROM pool WHERE has_verified_solution) AS dp_candidates_with_verified_solution, (SELECT count(*) FROM pool WHERE NOT has_verified_solution) AS dp_candidates_without_verified_solution,
     count(*) AS unique_canonical_groups, count(*) FILTER (n > 1) AS exact_duplicate_groups_inside_dp_pool, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS dp_problems_inside_exact_duplicate_groups FROM (SELECT count(*) AS n FROM pool GROUP BY canonical_group_id)""")
 def pool_summary(spark, d):
-    return assemble.pool_summary(pool_of(spark, d))
+    return assemble.pool_summary(staged(pool_of(spark, d)))
 
 
 @query("""SELECT what, value, count(*) AS count FROM (SELECT 'primary_family' AS what, primary_family AS value FROM pool UNION ALL SELECT 'evidence_level', dp_evidence_level FROM pool
     UNION ALL SELECT 'relationship_flag', unnest(string_split(relationship_flags, ',')) FROM pool WHERE relationship_flags <> '') WHERE value IS NOT NULL GROUP BY what, value""")
 def pool_counts(spark, d):
-    return assemble.pool_counts(pool_of(spark, d))
+    return assemble.pool_counts(staged(pool_of(spark, d)))
 
 
 @query("SELECT problem_id, rating, primary_family, dp_evidence_level, verified_solution_count, quality_tier, role FROM gold")
@@ -301,7 +304,7 @@ def gold_seeds(spark, d):
 
 @query("SELECT what, value, count(*) AS count FROM (SELECT 'role' AS what, role AS value FROM gold UNION ALL SELECT 'quality_tier', quality_tier FROM gold UNION ALL SELECT 'family', coalesce(primary_family, 'unresolved') FROM gold) GROUP BY what, value")
 def gold_counts(spark, d):
-    return assemble.gold_counts(assemble.gold_seeds(pool_of(spark, d)))
+    return assemble.gold_counts(assemble.gold_seeds(staged(pool_of(spark, d))))
 
 
 @query("SELECT problem_id, source_id, " + ", ".join(P.CODE_COUNTS) + ", array_to_string(impl, ',') AS implementations FROM built")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,12 @@ def append_new(df: DataFrame, path: str, key: str, schema: str, skip_done: bool
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where its files give fewer partitions than there are cores (one small file, one row group); else df as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row a key: the last in order, as where rows are read into a dictionary."""
     return df.groupBy(key).agg(F.max_by(F.struct(*df.columns), order).alias("row")).select("row.*")
@@ -55,3 +63,15 @@ def require(df: DataFrame, missing: DataFrame, say: Callable[[str], str], key: s
     """df, unless ``missing`` has a row: then reading the result raises, and names one key."""
     text = missing.agg(F.min(key).alias("lost")).select(F.when(F.col("lost").isNotNull(), F.raise_error(F.concat(F.lit(say("")), F.col("lost")))).cast("string").alias("lost"))
     return df.join(F.broadcast(text), F.col("lost").isNull()).drop("lost")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df as a table in spark.checkpoint.dir (a folder of this machine where that is unset, as in tests): made once, read by all.
+
+    For rows that a plan uses several times; what is lost with an executor is read again, not made again.
+    """
+    spark = df.sparkSession
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    path = f"{(base or 'file://' + tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
