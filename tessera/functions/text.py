@@ -95,9 +95,12 @@ def plain_words(c: Column, compose: bool = True) -> Column:
     return F.trim(F.regexp_replace(F.lower(nfkc(text) if compose else text), r"[^a-z0-9_]+", " "))
 
 
-def tokens(c: Column, compose: bool = True) -> Column:
-    """Words of two characters or more that aren't stop words."""
-    return F.filter(F.split(plain_words(c, compose), " "), lambda w: (F.length(w) > 1) & ~w.isin(STOPWORDS))
+def tokens(plain: Column) -> Column:
+    """Of plain words: those of two characters or more that aren't stop words.
+
+    The column is one that holds plain_words() already: Spark takes no Python function inside a lambda.
+    """
+    return F.filter(F.split(plain, " "), lambda w: (F.length(w) > 1) & ~w.isin(STOPWORDS))
 
 
 def shingles(words: Column, size: int = 5) -> Column:

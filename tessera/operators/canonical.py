@@ -47,7 +47,8 @@ def prepared(problems: DataFrame, compose: bool = True) -> DataFrame:
     """(problem_id, words, title_set, word_set, shingle_set): shingles as 64-bit hashes. The title is no part of the statement."""
     fields = [f for f in X.TEXT_FIELDS if f != "title" and f in problems.columns]
     problems = spread(problems.select("id", "title", *fields))
-    df = problems.select(F.col("id").cast("string").alias("problem_id"), X.tokens(X.joined_fields(*map(F.col, fields)), compose).alias("words"), F.array_distinct(X.tokens(F.col("title"), compose)).alias("title_set"))
+    df = problems.select(F.col("id").cast("string").alias("problem_id"), X.plain_words(X.joined_fields(*map(F.col, fields)), compose).alias("body_"), X.plain_words(F.col("title"), compose).alias("title_"))
+    df = X.barrier(df, "body_", "title_").select("problem_id", X.tokens(F.col("body_")).alias("words"), F.array_distinct(X.tokens(F.col("title_"))).alias("title_set"))
     df = X.barrier(df, "words", "title_set")
     return X.barrier(df.withColumn("word_set", F.array_distinct("words")).withColumn("shingle_set", X.shingle_hashes(F.col("words"))), "word_set", "shingle_set")
 
