@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, language, licenses, mixing, near_dedup, quality, substring_dedup, suffix_dedup, token_counts
+from . import decontaminate, fingerprints, language, licenses, mixing, near_dedup, oracles, quality, substring_dedup, suffix_dedup, token_counts
 from .common import table
 
 #: Where the public tokenizers' vocabulary files are. They are read by the driver and broadcast.
@@ -69,5 +69,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_suffix_array_dedup": oracles.BYTES,
+    "op2_minhash_near_dedup": oracles.GROUPS,
+    "op7_substring_dedup": oracles.WORDS,
     "op9_mix_sources": mixing.SQL,
 }
