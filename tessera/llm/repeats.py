@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import Rolling, U, blocks, utf8
-from .common import NO_ID
+from .common import NO_ID, texts
 
 #: Windows of a segment at most; runs of one minimizer (periodic text) are cut from their starts.
 MOST = 256
@@ -143,6 +143,8 @@ class Finder:
     """
 
     def __init__(self, k: int, window: int, within: bool, keys: int, encode, cut, repeated):
+        #: Minimizers whose segments are too many to meet in one task: see hot().
+        self.hot = np.zeros(0, U)
         self.k, self.window, self.within, self.keys = k, window, within, keys
         self.encode, self.cut, self.repeated = encode, cut, repeated
 
@@ -171,6 +173,8 @@ class Finder:
                 codes, first = self.encode(flat[at[i] : at[j]], at[i : j + 1] - at[i])
                 h, s, start, count = segments(codes, first, self.k, self.window)
                 twice = inner_repeats(codes, first, self.k, self.window, h) if self.within else np.zeros(len(h), bool)
+                if len(self.hot):
+                    h, s, start, count, twice = self._opened(codes, h, s, start, count, twice)
                 row = np.searchsorted(first, start, "right") - 1
                 held.append([h, s, rid[i + row], th[i + row], pid[i + row], (start - first[row]).astype(np.int32), count.astype(np.uint16), twice])
                 size += len(h)
@@ -180,6 +184,28 @@ class Finder:
         if size:
             yield self._send(held)
 
+    def _opened(self, codes, h, s, start, count, twice) -> tuple[np.ndarray, ...]:
+        """Segments of hot minimizers as windows of their own, whose content stands for the minimizer: equal windows still meet, others part."""
+        hot = np.isin(h, self.hot)
+        n = count[hot]
+        at = np.repeat(start[hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        own = Rolling(codes).runs(at, at + self.window)
+        both = lambda a, b: np.concatenate([a[~hot], b])
+        return both(h, own), both(s, own), both(start, at), both(count, np.ones(len(at), count.dtype)), both(twice, np.zeros(len(at), bool))
+
+    def minimizers(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of a task's texts: each minimizer with the number of its distinct segments."""
+        held: list[np.ndarray] = []
+        for batch in batches:
+            flat, at = utf8(batch.column("text"))
+            for i, j in blocks(at):
+                h, s, *_ = segments(*self.encode(flat[at[i] : at[j]], at[i : j + 1] - at[i]), self.k, self.window)
+                held.append(np.stack([h, s]))
+        if held:
+            h, n = np.unique(np.unique(np.concatenate(held, 1), axis=1)[0], return_counts=True)
+            often = n > 1
+            yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["h", "n"])
+
     def _send(self, held: list[list[np.ndarray]]) -> pa.RecordBatch:
         columns = [np.concatenate(x) for x in zip(*held)]
         order, again = self._first(*(columns[i] for i in (0, 1, 2, 3, 5)))
@@ -293,6 +319,22 @@ def dealt(docs: DataFrame, n: int) -> DataFrame:
     return rows.repartition(n, "pid")
 
 
+#: One document of so many is looked at for hot minimizers, those with so many distinct segments by that sample. This many at most are
+#: handled as such: more can't be, in any input of fewer than a million times as many segments.
+SAMPLE, HOT, MOST_HOT = 64, 1_000_000, 100_000
+
+
+def hot(docs: DataFrame, finder: Finder) -> np.ndarray:
+    """Minimizers that very many different segments share, as where a passage stands in a third of all documents.
+
+    Equal segments are collapsed within each task, so only the surroundings of such a passage are many. Which minimizers are
+    taken as hot changes no result.
+    """
+    some = texts(docs).where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0)
+    found = some.mapInArrow(finder.minimizers, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") * SAMPLE > HOT)
+    return np.sort(np.array([r[0] for r in found.orderBy(F.desc("n"), "h").limit(MOST_HOT).select("h").collect()], np.int64).view(U))
+
+
 def marked(rows: DataFrame, finder: Finder, n: int) -> DataFrame:
     """(kind, key, pid, data) of the windows of ``rows`` that repeat another: rows is from dealt()."""
     found = rows.mapInArrow(finder.segments, ROW).repartition(n, "key").mapInArrow(finder.resolve, ROW)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .arrays import SPACED, Rolling, U, mix, word_codes, words
 from .common import id_of, pieces
-from .repeats import Finder, dealt, marked, spans
+from .repeats import Finder, dealt, hot, marked, spans
 
 WINDOW = 50
 K = 8
@@ -62,7 +62,9 @@ def _repeated(content: bytes, size: np.ndarray, number: np.ndarray, offset: np.n
 def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = pieces(docs)
     rows = dealt(docs, n)
-    return rows, marked(rows, Finder(K, WINDOW, False, 4 * n, _encode, _cut, _repeated), n)
+    finder = Finder(K, WINDOW, False, 4 * n, _encode, _cut, _repeated)
+    finder.hot = hot(docs, finder)
+    return rows, marked(rows, finder, n)
 
 
 def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .arrays import BYTE, U
 from .common import id_of, pieces
-from .repeats import Finder, dealt, marked, spans
+from .repeats import Finder, dealt, hot, marked, spans
 
 WINDOW = 100
 K = 32
@@ -127,7 +127,9 @@ def _to_characters(data: bytes, gone: list[tuple[int, int]]) -> list[tuple[int,
 def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = pieces(docs)
     rows = dealt(docs, n)
-    return rows, marked(rows, Finder(K, WINDOW, True, 4 * n, _encode, _cut, _repeated), n)
+    finder = Finder(K, WINDOW, True, 4 * n, _encode, _cut, _repeated)
+    finder.hot = hot(docs, finder)
+    return rows, marked(rows, finder, n)
 
 
 def digests(docs: DataFrame) -> DataFrame:

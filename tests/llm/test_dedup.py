@@ -5,7 +5,7 @@ import pytest
 from corpus import byte_dedup, documents, near_groups, table, word_dedup
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tessera.llm import near_dedup, substring_dedup, suffix_dedup
+from tessera.llm import near_dedup, repeats, substring_dedup, suffix_dedup
 from tessera.llm.arrays import BYTE, Rolling
 from tessera.llm.components import components
 from tessera.llm.repeats import merged, segments
@@ -55,6 +55,17 @@ def test_groups_split_into_parts(spark, monkeypatch):
     assert got == near_groups(rows)
 
 
+def test_hot_minimizers_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
+    monkeypatch.setattr(repeats, "HOT", 3)
+    docs, rows = documents(spark, 3)
+    assert len(repeats.hot(docs, repeats.Finder(32, 100, True, 4, suffix_dedup._encode, suffix_dedup._cut, suffix_dedup._repeated))) > 0
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs).collect()}
+    assert got == byte_dedup(rows)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.dedup(docs).collect()}
+    assert got == word_dedup(rows)
+
+
 def test_empty_tables(spark):
     docs = table(spark, [])
     assert suffix_dedup.digests(docs).collect() == substring_dedup.dedup(docs).collect() == near_dedup.near_duplicates(docs).collect() == []
