@@ -152,8 +152,15 @@ class Finder:
         return ((minimizer >> U(20)) % U(self.keys)).astype(np.int64)
 
     def _first(self, h, s, rid, th, first) -> tuple[np.ndarray, np.ndarray]:
-        """Order by content and place; whether a row (in this order) is known to repeat one before it."""
+        """Order by content and place; whether a row (in this order) is known to repeat one before it.
+
+        With ``within``, each place stays once: equal rows have the same places, which aren't repeats of themselves.
+        """
         order = np.lexsort((first, th, rid, s, h))
+        if self.within:
+            once = np.ones(len(order), bool)
+            once[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in (h, s, rid, th, first)], axis=0)
+            order = order[once]
         h, s, rid = h[order], s[order], rid[order]
         new = np.ones(len(order), bool)
         new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])

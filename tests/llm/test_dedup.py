@@ -85,6 +85,17 @@ def test_repeated_rows_and_ids(spark):
     assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(docs).collect()} == {(1, 1), (2, 1)}
 
 
+def test_equal_rows_stay_whole(spark):
+    """Two equal rows alone lose nothing, also where their segments meet others with one minimizer; what a text repeats of itself goes from both."""
+    long, own = " ".join(f"word{k}" for k in range(60)), " ".join(f"own{k}" for k in range(60))
+    for rows in ([(1, long)] * 2, [(1, long)] * 5 + [(4, f"start {long[40:300]} end")], [(1, long)] * 2 + [(2, f"{own}|{own}")] * 2):
+        docs = table(spark, [(*r, None, None) for r in rows])
+        want = byte_dedup(set(rows))
+        got = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in suffix_dedup.digests(docs).collect()]
+        assert sorted(got) == sorted((i, want[i]) for i, _ in rows) and want[1][1] == 0
+        assert [r.text for r in suffix_dedup.dedup(docs).where("doc_id = 1").collect()] == [long] * rows.count((1, long))
+
+
 def test_texts_keep_whole_characters(spark):
     docs = table(spark, [(1, "é" * 80, None, None), (2, "aé" + "é" * 60 + "b", None, None), (3, None, None, None)])
     got = {r.doc_id: r.text for r in suffix_dedup.dedup(docs).collect()}
