@@ -20,8 +20,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id; all documents without words."""
-    return near_dedup.dedup(docs)
+    """One document of each group of near duplicates (0.8 of their 5-word shingles), the one with the least id; all documents without words."""
+    return near_dedup.dedup(docs, k=5)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,23 +71,28 @@ def buckets(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(key + np.arange(1, bands + 1, dtype=U)[None, :])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        flat, at = utf8(batch.column("text"))
-        for i, j in blocks(at, 1 << 20):
-            for a in range(i, j, 2_000):
-                b = min(a + 2_000, j)
-                sets, first = shingles(flat[at[a] : at[b]], at[a : b + 1] - at[a])
-                n = np.diff(first)
-                some = n > 0
-                keys = np.zeros((2, b - a), np.int64)
-                if some.any():
-                    for k, h in enumerate((mix(sets), mix(sets + U(0x51ED270B0A1F39C5)))):
-                        keys[k, some] = np.add.reduceat(h, first[:-1][some]).view(np.int64)
-                bands = buckets(signatures(sets, first))[some].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some) * BANDS]).astype(np.int32)), pa.array(bands.ravel()))
-                columns = [batch.column("rid").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys[0]), pa.array(keys[1]), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["rid", "th", "n", "k1", "k2", "bands"])
+def _sketch(k: int):
+    """Texts to the sizes, keys and bands of their sets of shingles of k words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, at = utf8(batch.column("text"))
+            for i, j in blocks(at, 1 << 20):
+                for a in range(i, j, 2_000):
+                    b = min(a + 2_000, j)
+                    sets, first = shingles(flat[at[a] : at[b]], at[a : b + 1] - at[a], k)
+                    n = np.diff(first)
+                    some = n > 0
+                    keys = np.zeros((2, b - a), np.int64)
+                    if some.any():
+                        for key, h in enumerate((mix(sets), mix(sets + U(0x51ED270B0A1F39C5)))):
+                            keys[key, some] = np.add.reduceat(h, first[:-1][some]).view(np.int64)
+                    bands = buckets(signatures(sets, first))[some].view(np.int64)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some) * BANDS]).astype(np.int32)), pa.array(bands.ravel()))
+                    columns = [batch.column("rid").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys[0]), pa.array(keys[1]), lists]
+                    yield pa.RecordBatch.from_arrays(columns, ["rid", "th", "n", "k1", "k2", "bands"])
+
+    return run
 
 
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -99,9 +104,9 @@ def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _sets(texts_: list[str]) -> list[np.ndarray]:
+def _sets(texts_: list[str], k: int) -> list[np.ndarray]:
     flat, at = utf8(pa.array(texts_, pa.string()))
-    sets, first = shingles(flat, at)
+    sets, first = shingles(flat, at, k)
     return np.split(sets, first[1:-1])
 
 
@@ -113,7 +118,7 @@ def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _verify_stars(percent: int):
+def _verify_stars(percent: int, k: int):
     """Rows of (center, salt), the center's own first: which members are linked with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +127,7 @@ def _verify_stars(percent: int):
             rows = [batch.column(c).to_pylist() for c in ("c_rid", "c_th", "salt", "member", "rid")]
             found = []
             for i, j, part in text_blocks(batch.column("text")):
-                for (c_rid, c_th, salt, member, rid), own in zip(zip(*(r[i:j] for r in rows)), _sets(part)):
+                for (c_rid, c_th, salt, member, rid), own in zip(zip(*(r[i:j] for r in rows)), _sets(part, k)):
                     if not member:
                         key, center = (c_rid, c_th, salt), own
                     elif key == (c_rid, c_th, salt) and _alike(center, own, percent):
@@ -132,9 +137,9 @@ def _verify_stars(percent: int):
     return run
 
 
-def _verify_group(rows: list[tuple[int, int, str]], percent: int) -> list[tuple[int, int]]:
+def _verify_group(rows: list[tuple[int, int, str]], percent: int, k: int) -> list[tuple[int, int]]:
     """Links between rows (rid, label, text) of different labels, but those that others imply. Signatures tell most unlike pairs."""
-    sets = _sets([t for *_, t in rows])
+    sets = _sets([t for *_, t in rows], k)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     marks = (signatures(np.concatenate(sets), at) & U(255)).astype(np.uint8)
     n = np.diff(at)
@@ -145,14 +150,14 @@ def _verify_group(rows: list[tuple[int, int, str]], percent: int) -> list[tuple[
         near = np.flatnonzero(label[:i] != label[i])
         near = near[(100 * np.minimum(n[near], n[i]) >= percent * np.maximum(n[near], n[i]))]
         near = near[(marks[near] == marks[i]).mean(1) >= percent / 100 - np.maximum(doubt[near], doubt[i])]
-        for k in near.tolist():
-            if label[k] != label[i] and _alike(sets[k], sets[i], percent):
-                found.append((rows[k][1], rows[i][1]))
-                label[label == label[k]] = label[i]
+        for j in near.tolist():
+            if label[j] != label[i] and _alike(sets[j], sets[i], percent):
+                found.append((rows[j][1], rows[i][1]))
+                label[label == label[j]] = label[i]
     return found
 
 
-def _verify_rest(percent: int):
+def _verify_rest(percent: int, k: int):
     """Rows sorted by (super, i, j), each such group whole: links between labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,11 +166,11 @@ def _verify_rest(percent: int):
             for *own, rid, label, text in zip(*(batch.column(c).to_pylist() for c in ("super", "i", "j", "rid", "label", "text"))):
                 if own != key:
                     if len(held) > 1:
-                        yield _links(_verify_group(held, percent))
+                        yield _links(_verify_group(held, percent, k))
                     key, held = own, []
                 held.append((rid, label, text))
         if len(held) > 1:
-            yield _links(_verify_group(held, percent))
+            yield _links(_verify_group(held, percent, k))
 
     return run
 
@@ -182,10 +187,10 @@ def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts(docs).join(F.broadcast(wanted) if few else wanted, ["rid", "th"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row.
 
-    Documents are linked if 100 * intersection >= percent * union of their sets of 4-word shingles; component_id is the least id
+    Documents are linked if 100 * intersection >= percent * union of their sets of shingles of k words; component_id is the least id
     reachable, kept says that it is the document's own. Null texts and texts without words have empty sets and are linked with nothing.
     A null id is the smallest. Rows of one id are one document where they are the first with their sets. Links are confirmed on
     whole sets; a link at the threshold is missed as a candidate with a probability of 3e-7.
@@ -197,7 +202,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_folder(spark)
     n = pieces(docs)
-    rows = written(texts(docs).mapInArrow(_sketch, "rid long, th long, n long, k1 long, k2 long, bands array<long>"), f"{folder}/rows")
+    rows = written(texts(docs).mapInArrow(_sketch(k), "rid long, th long, n long, k1 long, k2 long, bands array<long>"), f"{folder}/rows")
     firsts = rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("rid", "th")).alias("first"), F.count("*").alias("copies"))
     reps = rows.where("n > 0").join(firsts.select("first.*"), ["rid", "th"], "left_semi").dropDuplicates(["rid", "th"])
     banded = reps.select("rid", "th", F.explode("bands").alias("bucket"))
@@ -211,7 +216,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     spokes = stars.join(salts, ["c_rid", "c_th"]).select("rid", "th", "c_rid", "c_th", F.pmod(F.hash("rid", "th"), "salts").alias("salt"), F.lit(True).alias("member"))
     hubs = salts.select(F.col("c_rid").alias("rid"), F.col("c_th").alias("th"), "c_rid", "c_th", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"))
     routed = _with_texts(docs, spokes.unionByName(hubs)).repartition(n, "c_rid", "c_th", "salt").sortWithinPartitions("c_rid", "c_th", "salt", "member")
-    links = written(routed.mapInArrow(_verify_stars(percent), LINK), f"{folder}/links")
+    links = written(routed.mapInArrow(_verify_stars(percent, k), LINK), f"{folder}/links")
     label = components(links, f"{folder}/first")
 
     named = members.select("bucket", "rid", "th", "c_rid").join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
@@ -224,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("parts <= 2 OR other <> part")
     rest = rest.select("super", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid", "th", "label")
     compared = _with_texts(docs, rest).repartition(n, "super", "i", "j").sortWithinPartitions("super", "i", "j")
-    more = written(compared.mapInArrow(_verify_rest(percent), LINK), f"{folder}/more")
+    more = written(compared.mapInArrow(_verify_rest(percent, k), LINK), f"{folder}/more")
     last = components(more, f"{folder}/last")
 
     final = label.join(last.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
@@ -235,9 +240,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("component")).alias("component_id"), (F.col("rid") == F.col("component")).alias("kept"))
 
 
-def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
+def dedup(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
     """docs without the documents that near_duplicates() doesn't keep, by id; in docs' columns."""
-    gone = near_duplicates(docs, percent).where("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone"))
+    gone = near_duplicates(docs, percent, k).where("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone"))
     gone = written(gone, f"{shared_folder(docs.sparkSession)}/gone")
     few = gone.count() <= MOST_BROADCAST
     return docs.join(F.broadcast(gone) if few else gone, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == gone["gone"], "left_anti")

@@ -56,6 +56,24 @@ def test_stages_as_brute_force(spark, tmp_path):
     assert again == {i: x.taken for i, x in mixed.items()}
 
 
+def test_near_duplicates_by_five_words(spark):
+    """Texts with 10 of 400 words changed are alike by four words (0.82), not by five (0.78): the stage keeps them, and drops those with fewer changes."""
+    base = [f"w{k}" for k in range(400)]
+    changed = lambda i, n: [f"v{i}" if k % 39 == 20 and k // 39 < n else w for k, w in enumerate(base)]
+    rows = [(i, " ".join(changed(i, n)), "en", "s", 0) for i, n in enumerate([0, 10, 10, 8, 3, 10])]
+    docs, group = spark.createDataFrame(rows, SCHEMA), {}
+    for k in (4, 5):
+        sets = [{tuple(w[a : a + k]) for a in range(len(w) - k + 1)} for w in (x[1].split() for x in rows)]
+        group[k] = list(range(len(rows)))
+        for i in range(len(rows)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    a, b = sorted((group[k][i], group[k][j]))
+                    group[k] = [a if g == b else g for g in group[k]]
+    got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert got == set(group[5]) and got > set(group[4])
+
+
 def test_every_query_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
