@@ -7,6 +7,7 @@ and ordered in the same way on every run.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,8 +43,8 @@ def input_bytes(df: DataFrame) -> int:
     return sum(x for x in sizes if x < 2**60)
 
 
-def pieces(df: DataFrame, each_mb: float = 8.0, most: int = 500_000) -> int:
-    """How many pieces of about each_mb of input: grows with the input, and is at least the session's shuffle partitions."""
+def pieces(df: DataFrame, each_mb: float = 8.0, most: int = 10_000_000) -> int:
+    """How many pieces of about each_mb of input: grows with the input (80 TB at 8 MB), and is at least the session's shuffle partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(most, round(input_bytes(df) / (each_mb * 1e6))))
 
@@ -54,9 +55,17 @@ def lower_ascii(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: in spark.checkpoint.dir, or a folder of this machine where that is unset, as in tests."""
+    """A new folder in spark.checkpoint.dir, which driver and executors share.
+
+    Raises where that is unset on a cluster, as executors would each write to a disk of their own. A session on this machine alone may
+    go without: it gets a folder of the machine. What is written stays until the run that owns spark.checkpoint.dir removes it, since results are read lazily.
+    """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(base or 'file://' + tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/{uuid.uuid4().hex}"
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, path: str) -> DataFrame:

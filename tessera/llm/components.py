@@ -21,7 +21,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
-    """(node, label) of all nodes but the least of each component, whose label is the least node; edges: (u, v) longs, either way round.
+    """(node, label) of all nodes but the least of each component, whose label is the least node; edges: (u, v) of any type in order, either way round.
 
     Loops are passed over. The number of rounds grows with the logarithm of a component's size.
     """

@@ -1,4 +1,7 @@
-"""MinHash near-dedup: one-permutation hashing with optimal densification, bands, and star-shaped candidate edges."""
+"""MinHash near-dedup: one-permutation hashing with optimal densification, bands, and star-shaped candidate edges.
+
+Nodes of the graph are (rid, th), a document's id and the hash of its text, so texts that share an id aren't mistaken for each other.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, SPACED, Rolling, U, blocks, mix, text_blocks, utf8, word_codes, words
+from .arrays import LOWER, SPACED, Rolling, U, blocks, mix, utf8, word_codes, words
 from .common import NO_ID, id_of, pieces, shared_folder, texts, written
 from .components import components
 
@@ -77,7 +80,7 @@ def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, at = utf8(batch.column("text"))
-            for i, j in blocks(at, 1 << 20):
+            for i, j in blocks(at, 1 << 19):
                 for a in range(i, j, 2_000):
                     b = min(a + 2_000, j)
                     sets, first = shingles(flat[at[a] : at[b]], at[a : b + 1] - at[a], k)
@@ -104,145 +107,181 @@ def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _sets(texts_: list[str], k: int) -> list[np.ndarray]:
-    flat, at = utf8(pa.array(texts_, pa.string()))
-    sets, first = shingles(flat, at, k)
-    return np.split(sets, first[1:-1])
-
-
-LINK = "u long, v long"
-
-
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    u, v = zip(*found) if found else ([], [])
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+LINK = "u struct<rid: long, th: long>, v struct<rid: long, th: long>"
+_NODE = pa.struct([("rid", pa.int64()), ("th", pa.int64())])
 
 
 def _verify_stars(percent: int, k: int):
-    """Rows of (center, salt), the center's own first: which members are linked with it."""
+    """Rows of (center, salt), the center's own first: which members are linked with it. Sets are made of some texts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, center = None, None
         for batch in batches:
-            rows = [batch.column(c).to_pylist() for c in ("c_rid", "c_th", "salt", "member", "rid")]
-            found = []
-            for i, j, part in text_blocks(batch.column("text")):
-                for (c_rid, c_th, salt, member, rid), own in zip(zip(*(r[i:j] for r in rows)), _sets(part, k)):
+            rows = [batch.column(c).to_pylist() for c in ("c_rid", "c_th", "salt", "member", "rid", "th")]
+            found: list[tuple] = []
+            flat, at = utf8(batch.column("text"))
+            for i, j in blocks(at, 1 << 19):
+                sets, first = shingles(flat[at[i] : at[j]], at[i : j + 1] - at[i], k)
+                for n, (c_rid, c_th, salt, member, rid, th) in enumerate(zip(*(r[i:j] for r in rows))):
+                    own = sets[first[n] : first[n + 1]]
                     if not member:
-                        key, center = (c_rid, c_th, salt), own
+                        key, center = (c_rid, c_th, salt), own.copy()
                     elif key == (c_rid, c_th, salt) and _alike(center, own, percent):
-                        found.append((rid, c_rid))
-            yield _links(found)
+                        found.append(({"rid": rid, "th": th}, {"rid": c_rid, "th": c_th}))
+            u, v = zip(*found) if found else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(u, _NODE), pa.array(v, _NODE)], ["u", "v"])
 
     return run
 
 
-def _verify_group(rows: list[tuple[int, int, str]], percent: int, k: int) -> list[tuple[int, int]]:
-    """Links between rows (rid, label, text) of different labels, but those that others imply. Signatures tell most unlike pairs."""
-    sets = _sets([t for *_, t in rows], k)
-    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    marks = (signatures(np.concatenate(sets), at) & U(255)).astype(np.uint8)
-    n = np.diff(at)
-    label = np.unique([x for _, x, _ in rows], return_inverse=True)[1]
-    doubt = 6 * np.sqrt(0.25 / np.minimum(n, BINS))
-    found = []
-    for i in range(1, len(rows)):
-        near = np.flatnonzero(label[:i] != label[i])
-        near = near[(100 * np.minimum(n[near], n[i]) >= percent * np.maximum(n[near], n[i]))]
-        near = near[(marks[near] == marks[i]).mean(1) >= percent / 100 - np.maximum(doubt[near], doubt[i])]
-        for j in near.tolist():
-            if label[j] != label[i] and _alike(sets[j], sets[i], percent):
-                found.append((rows[j][1], rows[i][1]))
-                label[label == label[j]] = label[i]
-    return found
-
-
-def _verify_rest(percent: int, k: int):
-    """Rows sorted by (super, i, j), each such group whole: links between labels."""
+#: Counters of shingles over the documents of open buckets. Shingles may share one: it orders them, and any order is right.
+COUNTERS = 1 << 18
 
+
+def _slots(sets: np.ndarray) -> np.ndarray:
+    return ((mix(sets) >> U(32)) * U(COUNTERS) >> U(32)).astype(np.int64)
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        counts += np.bincount(_slots(batch.column("shingles").flatten().to_numpy().view(U)), minlength=COUNTERS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
+
+
+def _set_rows(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
         for batch in batches:
-            for *own, rid, label, text in zip(*(batch.column(c).to_pylist() for c in ("super", "i", "j", "rid", "label", "text"))):
-                if own != key:
-                    if len(held) > 1:
-                        yield _links(_verify_group(held, percent, k))
-                    key, held = own, []
-                held.append((rid, label, text))
-        if len(held) > 1:
-            yield _links(_verify_group(held, percent, k))
+            flat, at = utf8(batch.column("text"))
+            for i, j in blocks(at, 1 << 19):
+                sets, first = shingles(flat[at[i] : at[j]], at[i : j + 1] - at[i], k)
+                own = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([own.column("rid"), own.column("th"), own.column("label"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64)))], ["rid", "th", "label", "shingles"])
 
     return run
 
 
-#: Keys of rows wanted from the documents are broadcast up to so many (24 bytes each); beyond, the texts are shuffled.
-MOST_BROADCAST = 1_000_000
-#: Members of a star, and documents of an unresolved group, that one task compares.
-STAR_ROWS, GROUP_ROWS = 2_000, 4_000
+def _prefixes(percent: int, sent):
+    """The rarest shingles of each set, as many as two sets need to share one if they are alike: n - ceil(percent * n / 100) + 1."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sent.value
+        for batch in batches:
+            lists = batch.column("shingles")
+            sets, n = lists.flatten().to_numpy().view(U), lists.value_lengths().to_numpy().astype(np.int64)
+            own = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((sets, counts[_slots(sets)], own))
+            nth = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+            some = nth < (n - (percent * n + 99) // 100 + 1)[own]
+            row = pa.array(own[some])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("rid", "th", "label")), pa.array(n[own[some]]), pa.array(sets[order[some]].view(np.int64))], ["rid", "th", "label", "n", "shingle"])
 
-def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted, by (rid, th), with the texts."""
-    few = wanted.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    return texts(docs).join(F.broadcast(wanted) if few else wanted, ["rid", "th"])
+    return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row.
+#: Keys of rows wanted from a table are broadcast up to so many (some 40 bytes each), counted first; beyond, they are joined by a shuffle.
+MOST_BROADCAST = 500_000
+#: Members of a star that one task compares with its center.
+STAR_ROWS = 2_000
+
+
+def _little(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else table
 
-    Documents are linked if 100 * intersection >= percent * union of their sets of shingles of k words; component_id is the least id
-    reachable, kept says that it is the document's own. Null texts and texts without words have empty sets and are linked with nothing.
-    A null id is the smallest. Rows of one id are one document where they are the first with their sets. Links are confirmed on
-    whole sets; a link at the threshold is missed as a candidate with a probability of 3e-7.
+
+def _verified(docs: DataFrame, stars: DataFrame, percent: int, k: int, n: int, path: str) -> DataFrame:
+    """(u, v) of the rows (rid, th, c_rid, c_th) of stars whose member and center are alike, by whole sets. Stars with many members are salted."""
+    salts = stars.groupBy("c_rid", "c_th").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("salts"))
+    salts = written(salts, f"{path}/salts")
+    spokes = stars.join(salts, ["c_rid", "c_th"]).select("rid", "th", "c_rid", "c_th", F.pmod(F.hash("rid", "th"), "salts").alias("salt"), F.lit(True).alias("member"))
+    hubs = salts.select(F.col("c_rid").alias("rid"), F.col("c_th").alias("th"), "c_rid", "c_th", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"))
+    wanted = written(spokes.unionByName(hubs), f"{path}/wanted")
+    routed = texts(docs).join(_little(wanted), ["rid", "th"]).repartition(n, "c_rid", "c_th", "salt").sortWithinPartitions("c_rid", "c_th", "salt", "member")
+    return written(routed.mapInArrow(_verify_stars(percent, k), LINK).distinct(), f"{path}/links")
+
+
+def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder: str) -> DataFrame:
+    """Links between documents of rest (rid, th, label) whose labels differ: every one, since alike sets share a shingle among their rarest ones."""
+    spark = docs.sparkSession
+    sets = texts(docs).join(_little(rest), ["rid", "th"]).dropDuplicates(["rid", "th"]).mapInArrow(_set_rows(k), f"rid long, th long, label {_STRUCT}, shingles array<long>")
+    sets = written(sets, f"{folder}/sets")
+    tally = sets.select("shingles").mapInArrow(_tally, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[tally.column("slot").to_numpy()] = tally.column("n").to_numpy()
+    rare = sets.mapInArrow(_prefixes(percent, spark.sparkContext.broadcast(counts)), f"rid long, th long, label {_STRUCT}, n long, shingle long")
+    rare = written(rare, f"{folder}/rare")
+    shared = rare.groupBy("shingle").agg(F.count("*").alias("times"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
+    rare = rare.join(written(shared, f"{folder}/shared"), "shingle")
+    rare = written(rare, f"{folder}/meeting")
+    a = rare.select("shingle", F.col("rid").alias("c_rid"), F.col("th").alias("c_th"), F.col("label").alias("c_label"), F.col("n").alias("c_n"))
+    near = 100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")
+    pairs = rare.join(a, "shingle").where((F.col("label") > F.col("c_label")) & near).select("rid", "th", "c_rid", "c_th").distinct()
+    return _verified(docs, written(pairs, f"{folder}/pairs"), percent, k, n, folder)
+
+
+_STRUCT = "struct<rid: long, th: long>"
+
+
+def _grouped(docs: DataFrame, percent: int, k: int) -> DataFrame:
+    """(rid, th, n, label): one row for each row; label is the least (rid, th) reachable, the row's own where it is linked with nothing.
 
     Equal sets are collapsed first. Of each bucket of a band the least document is the center of a star, and each other member a
-    candidate with it alone. Where a bucket's members aren't all connected by the links so confirmed, they are compared with
-    each other, in groups of bounded size; so stars lose no link between components.
+    candidate with it alone. Where a bucket's members aren't all connected by the links so confirmed, its documents are searched for links
+    between components by their rarest shingles; so stars lose no link.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
     n = pieces(docs)
     rows = written(texts(docs).mapInArrow(_sketch(k), "rid long, th long, n long, k1 long, k2 long, bands array<long>"), f"{folder}/rows")
-    firsts = rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("rid", "th")).alias("first"), F.count("*").alias("copies"))
-    reps = rows.where("n > 0").join(firsts.select("first.*"), ["rid", "th"], "left_semi").dropDuplicates(["rid", "th"])
-    banded = reps.select("rid", "th", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min(F.struct("rid", "th")).alias("c"), F.count("*").alias("members")).where("members > 1")
-    members = banded.join(shared.select("bucket", F.col("c.rid").alias("c_rid"), F.col("c.th").alias("c_th")), "bucket")
-    members = written(members, f"{folder}/members")
-
-    stars = members.where("rid <> c_rid OR th <> c_th").select("rid", "th", "c_rid", "c_th").distinct()
-    stars = written(stars, f"{folder}/stars")
-    salts = stars.groupBy("c_rid", "c_th").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("salts"))
-    spokes = stars.join(salts, ["c_rid", "c_th"]).select("rid", "th", "c_rid", "c_th", F.pmod(F.hash("rid", "th"), "salts").alias("salt"), F.lit(True).alias("member"))
-    hubs = salts.select(F.col("c_rid").alias("rid"), F.col("c_th").alias("th"), "c_rid", "c_th", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"))
-    routed = _with_texts(docs, spokes.unionByName(hubs)).repartition(n, "c_rid", "c_th", "salt").sortWithinPartitions("c_rid", "c_th", "salt", "member")
-    links = written(routed.mapInArrow(_verify_stars(percent, k), LINK), f"{folder}/links")
-    label = components(links, f"{folder}/first")
-
-    named = members.select("bucket", "rid", "th", "c_rid").join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+    node = F.struct("rid", "th")
+    firsts = written(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(node).alias("first"), F.count("*").alias("copies")), f"{folder}/firsts")
+    reps = rows.where("n > 0").join(_little(firsts.select("first.*")), ["rid", "th"], "left_semi").dropDuplicates(["rid", "th"])
+    banded = written(reps.select("rid", "th", F.explode("bands").alias("bucket")), f"{folder}/banded")
+    shared = banded.groupBy("bucket").agg(F.min(node).alias("c"), F.count("*").alias("members")).where("members > 1")
+    shared = written(shared.select("bucket", F.col("c.rid").alias("c_rid"), F.col("c.th").alias("c_th")), f"{folder}/shared")
+    members = written(banded.join(_little(shared), "bucket"), f"{folder}/members")
+
+    stars = written(members.where("rid <> c_rid OR th <> c_th").select("rid", "th", "c_rid", "c_th").distinct(), f"{folder}/stars")
+    label = components(_verified(docs, stars, percent, k, n, f"{folder}/first"), f"{folder}/first/components")
+
+    named = members.select("bucket", node.alias("node")).join(_little(label), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    named = written(named, f"{folder}/named")
     open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    rest = written(named.join(open_, "bucket").select("rid", "th", "label", "c_rid").distinct(), f"{folder}/rest")
-    group = components(rest.select(F.col("rid").alias("u"), F.col("c_rid").alias("v")), f"{folder}/groups").withColumnRenamed("label", "super")
-    rest = rest.select("rid", "th", "label").distinct().join(group.withColumnRenamed("node", "rid"), "rid", "left").withColumn("super", F.coalesce("super", "rid"))
-    parts = rest.groupBy("super").agg(F.ceil(F.count("*") * 2 / GROUP_ROWS).cast("int").alias("parts")).withColumn("parts", F.when(F.col("parts") <= 2, 1).otherwise(F.col("parts")))
-    rest = rest.join(parts, "super").withColumn("part", F.pmod(F.hash("rid", "th"), "parts"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("parts <= 2 OR other <> part")
-    rest = rest.select("super", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid", "th", "label")
-    compared = _with_texts(docs, rest).repartition(n, "super", "i", "j").sortWithinPartitions("super", "i", "j")
-    more = written(compared.mapInArrow(_verify_rest(percent, k), LINK), f"{folder}/more")
-    last = components(more, f"{folder}/last")
-
-    final = label.join(last.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    final = final.unionByName(last.join(label, "node", "left_anti")).groupBy("node").agg(F.min("label").alias("label"))
-    firsts = firsts.where("copies > 1").select("k1", "k2", "n", F.col("first.rid").alias("rep"))
-    out = rows.select("rid", "n", "k1", "k2").join(firsts, ["k1", "k2", "n"], "left").withColumn("rep", F.coalesce(F.when(F.col("n") > 0, F.col("rep")), F.col("rid")))
-    out = out.join(final.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("label", "rep")).otherwise(F.col("rid")))
-    return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("component")).alias("component_id"), (F.col("rid") == F.col("component")).alias("kept"))
+    rest = written(named.join(written(open_, f"{folder}/open"), "bucket").select("node.*", "label").distinct(), f"{folder}/rest")
+    if not rest.isEmpty():
+        found = _rest(docs, rest, percent, k, n, f"{folder}/rest-of")
+        of = rest.select(F.struct("rid", "th").alias("node"), "label")
+        found = found.join(of.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(of.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
+        last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/last")
+        moved = label.join(_little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        label = written(moved.unionByName(last.join(label, "node", "left_anti").select("node", "label")), f"{folder}/labels")
+
+    known = firsts.join(label.withColumnRenamed("node", "first"), "first", "left").where("copies > 1 OR label IS NOT NULL").select("k1", "k2", "n", F.coalesce("label", "first").alias("known"))
+    known = written(known, f"{folder}/known")
+    out = rows.select("rid", "th", "n", "k1", "k2").join(_little(known), ["k1", "k2", "n"], "left")
+    return out.select("rid", "th", "n", F.coalesce(F.when(F.col("n") > 0, F.col("known")), node).alias("label"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each row.
+
+    Documents are linked if 100 * intersection >= percent * union of their sets of shingles of k words; component_id is the least id
+    reachable, kept says that it is the document's own. Null texts and texts without words have empty sets and are linked with nothing.
+    A null id is the smallest. Rows of one id but different texts are nodes of their own, and kept says that the row's text is the component's first,
+    too. Links are confirmed on whole sets; a link at the threshold is missed as a candidate with a probability of 3e-7, and
+    only if no other link of its documents puts both into buckets with others.
+    """
+    out = _grouped(docs, percent, k)
+    return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("label.rid")).alias("component_id"), (F.struct("rid", "th") == F.col("label")).alias("kept"))
 
 
 def dedup(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
-    """docs without the documents that near_duplicates() doesn't keep, by id; in docs' columns."""
-    gone = near_duplicates(docs, percent, k).where("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone"))
+    """docs without the rows whose id and text near_duplicates() doesn't keep, in docs' columns: of each group one text stays.
+
+    Rows equal in id and text are one document and stay or go together; rows of one id with unlike texts are told apart.
+    """
+    gone = _grouped(docs, percent, k).where("struct(rid, th) <> label").select(F.col("rid").alias("gone_rid"), F.col("th").alias("gone_th")).distinct()
     gone = written(gone, f"{shared_folder(docs.sparkSession)}/gone")
-    few = gone.count() <= MOST_BROADCAST
-    return docs.join(F.broadcast(gone) if few else gone, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == gone["gone"], "left_anti")
+    rid, th = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(_little(gone), (rid == gone["gone_rid"]) & (th == gone["gone_th"]), "left_anti")

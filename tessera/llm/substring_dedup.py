@@ -1,13 +1,14 @@
 """Substring dedup by seed and extend: words covered by a window of 50 words that also starts in an earlier document are removed.
 
-Seeds are winnowed anchors: the least hash of eight words in each window of 50. Occurrences of one anchor are extended to the left and
-to the right all at once: they stay in a class as long as their words agree, so a class of (words to the left, words to
-the right) which is 50 words long is a match of all its members, without a pair for each two of them. Neighbouring matches
-make up the maximal repeats. Occurrences whose whole surroundings are equal are collapsed before the shuffle (see repeats).
+Seeds are winnowed anchors: the least hash of eight words in each window of 50. The occurrences of one anchor are extended word by word, to the
+right and to the left, all at once: a class of occurrences is parted as soon as their next words differ, and one left alone goes no further.
+Occurrences in one class o words to the left and 50 - o to the right share a window, without a pair for each two of them;
+neighbouring windows make up the maximal repeats. Segments equal as a whole are aggregated before the shuffle (see repeats).
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import SPACED, Rolling, U, mix, word_codes, words
+from .arrays import SPACED, Rolling, U, word_codes, words
 from .common import id_of, pieces
 from .repeats import Finder, dealt, hot, marked, spans
 
@@ -23,46 +24,66 @@ WINDOW = 50
 K = 8
 
 
-def _encode(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _units(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, first = words(flat, at, SPACED)
     return word_codes(flat, start, end), first
 
 
-def _cut(text: bytes, firsts: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    codes, _ = _encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    return [codes[a : a + c + WINDOW - 1].tobytes() for a, c in zip(firsts.tolist(), counts.tolist())]
+def _codes(units: np.ndarray) -> np.ndarray:
+    return units
 
 
-def _repeated(content: bytes, size: np.ndarray, number: np.ndarray, offset: np.ndarray, rank: np.ndarray, document: np.ndarray) -> np.ndarray:
+def _extended(codes: np.ndarray, seed: np.ndarray, step: int, room: np.ndarray, most: int) -> np.ndarray:
+    """The class of each seed after 0, 1, .. most words in one direction, -1 where it is alone or has no room: seeds are in one class if those words agree."""
+    out = np.full((most + 1, len(seed)), -1, np.int64)
+    out[0] = 0
+    on = np.arange(len(seed))
+    for t in range(1, most + 1):
+        on = on[room[on] >= t]
+        word = codes[seed[on] + (t - 1 if step > 0 else -t)]
+        order = np.lexsort((word, out[t - 1, on]))
+        on, word = on[order], word[order]
+        new = np.ones(len(on) + 1, bool)
+        new[1:-1] = (word[1:] != word[:-1]) | (out[t - 1, on[1:]] != out[t - 1, on[:-1]])
+        several = ~(new[:-1] & new[1:])
+        out[t, on[several]] = np.cumsum(new[:-1])[several]
+        on = on[several]
+        if not len(on):
+            break
+    return out
+
+
+def _repeated(codes_of, content: bytes, size: np.ndarray, number: np.ndarray, offset: np.ndarray, rank: np.ndarray, document: np.ndarray) -> np.ndarray:
     codes = np.frombuffer(content, U)
     size = size // 8
     base = np.cumsum(size) - size
-    rolling = Rolling(codes)
-    grams = rolling.grams(K)
-    inside = np.stack([base, np.minimum(base + size - K + 1, len(grams) - 1)], 1).ravel()
-    anchor = np.minimum.reduceat(grams, inside)[::2]
-    last = grams[-1] if len(grams) else U(0)  # reduceat leaves the last gram out of the last segment
-    anchor[-1] = min(anchor[-1], last)
+    grams = Rolling(codes_of(codes)).grams(K)
     own = np.repeat(np.arange(len(size)), size)[: len(grams)]
-    seeds = np.flatnonzero(grams == anchor[own])
+    inside = np.arange(len(grams)) <= (base + size - K)[own]
+    anchor = np.full(len(size), U(2**64 - 1))
+    np.minimum.at(anchor, own[inside], grams[inside])
+    seeds = np.flatnonzero(inside & (grams == anchor[own]))
+    left = _extended(codes, seeds, -1, seeds - base[own[seeds]], WINDOW - K)
+    right = _extended(codes, seeds, 1, (base + size)[own[seeds]] - seeds, WINDOW)
     window = base[number] + offset
-    seed = seeds[np.searchsorted(seeds, window)]
-    left, right = rolling.runs(window, seed), rolling.runs(seed, window + WINDOW)
-    match = mix(left * U(0x9E3779B97F4A7C15) + right + (seed - window).astype(U))
-    order = np.lexsort((document, match))
-    match, document = match[order], document[order]
+    nth = np.searchsorted(seeds, window)
+    before = seeds[nth] - window
+    a, b = left[before, nth], right[WINDOW - before, nth]
+    some = np.flatnonzero((a >= 0) & (b >= 0))
+    key, document = [c[some] for c in (b, a, before)], document[some]
+    order = np.lexsort((document, *key))
     new = np.ones(len(order), bool)
-    new[1:] = match[1:] != match[:-1]
+    new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in key], axis=0)
     head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    again = np.zeros(len(order), bool)
-    again[order] = document > document[head]
+    again = np.zeros(len(number), bool)
+    again[some[order]] = document[order] > document[order[head]]
     return again
 
 
 def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = pieces(docs)
     rows = dealt(docs, n)
-    finder = Finder(K, WINDOW, False, 4 * n, _encode, _cut, _repeated)
+    finder = Finder(K, WINDOW, False, 4 * n, _units, _codes, functools.partial(_repeated, _codes))
     finder.hot = hot(docs, finder)
     return rows, marked(rows, finder, n)
 

@@ -1,10 +1,10 @@
 """Suffix-array dedup: bytes covered by a window of 100 bytes that also starts earlier are removed.
 
 Suffixes that can share 100 bytes are brought together by the minimizer of their first window (see repeats); equal segments are
-collapsed before the shuffle. The suffixes of what is left are then sorted by deep-shallow sorting, each bucket on its own:
-multikey quicksort, with eight bytes as one character, to a shallow depth; groups that still agree are ordered by blind
-tries, which keep the branching depth and byte of each node only, so a suffix is compared in full once for each leader on its path.
-Suffixes that end in one leaf share 100 bytes; all but the first in place are repeats.
+aggregated before the shuffle. The suffixes of what is left are then put in order by deep-shallow sorting, each bucket on its own:
+three-way multikey quicksort, with eight bytes as one character, to a shallow depth; groups that still agree are ordered by blind
+tries, which know a suffix by the depth and the byte at which it leaves another's path. In that order suffixes that share
+100 bytes are neighbours; of each such run all but the first in place are repeats.
 """
 
 from __future__ import annotations
@@ -26,23 +26,51 @@ K = 32
 SHALLOW = 24
 
 
-def _encode(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return BYTE[flat], at
+def _units(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return flat, at
 
 
-def _groups(ids: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids sorted by keys, the first the most significant, and their groups' numbers, without those alone in their group."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(ids) + 1, bool)
-    new[[0, -1]] = True
-    for key in keys:
-        key = key[order]
-        new[1:-1] |= key[1:] != key[:-1]
-    many = ~(new[:-1] & new[1:])
-    return ids[order][many], np.cumsum(new[:-1][many])
+def _codes(units: np.ndarray) -> np.ndarray:
+    return BYTE[units]
 
 
-def _first_difference(x: np.ndarray) -> np.ndarray:
+def _slots(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ranges: all their members, and the number of the range of each."""
+    group = np.repeat(np.arange(len(first)), size)
+    return np.arange(len(group)) + np.repeat(first - (np.cumsum(size) - size), size), group
+
+
+def _quicksort(x: np.ndarray, position: np.ndarray, order: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multikey quicksort of order in place, by eight bytes at a time to the depth ``shallow``; first and size of the groups that agree to there.
+
+    All groups are parted in one pass: below, at and above the median of three of their members' next characters. The middle part goes on at
+    the next character, the others at the same.
+    """
+    first, size, depth = np.zeros(1, np.int64), np.array([len(order)]), np.zeros(1, np.int64)
+    deep: list[tuple[np.ndarray, np.ndarray]] = []
+    while True:
+        done = depth >= shallow
+        deep.append((first[done], size[done]))
+        first, size, depth = first[~done], size[~done], depth[~done]
+        if not len(first):
+            break
+        slot, group = _slots(first, size)
+        own = order[slot]
+        char = x[position[own] + depth[group]]
+        start = np.cumsum(size) - size
+        three = np.sort(np.stack([char[start], char[start + size // 2], char[start + size - 1]]), axis=0)
+        pivot = three[1][group]
+        side = group * 3 + (char >= pivot) + (char > pivot)
+        order[slot] = own[np.argsort(side, kind="stable")]
+        parts = np.bincount(side, minlength=3 * len(size))
+        at = np.cumsum(parts.reshape(-1, 3), axis=1) - parts.reshape(-1, 3) + first[:, None]
+        next_ = np.repeat(depth, 3) + np.tile([0, 8, 0], len(size))
+        many = parts > 1
+        first, size, depth = at.ravel()[many], parts[many], next_[many]
+    return np.concatenate([f for f, _ in deep]), np.concatenate([n for _, n in deep])
+
+
+def _leading_zeros(x: np.ndarray) -> np.ndarray:
     """Of words that aren't zero, the number of leading bytes that are."""
     out = np.zeros(len(x), np.int64)
     for bits in (32, 16, 8):
@@ -52,56 +80,69 @@ def _first_difference(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def leaves(data: np.ndarray, position: np.ndarray, window: int = WINDOW, shallow: int = SHALLOW) -> np.ndarray:
-    """A number for each suffix, the same where the first ``window`` bytes are; 0 for suffixes that share them with none.
+def _tries(data: np.ndarray, x: np.ndarray, position: np.ndarray, order: np.ndarray, first: np.ndarray, size: np.ndarray, shallow: int, window: int) -> np.ndarray:
+    """Blind tries over all groups at once, which puts order in order; whether a suffix (in that order) agrees with the one before it to the window's end.
 
-    ``shallow`` is a multiple of 8 below window; there are window bytes after every position.
+    The first suffix of a group is a path. Each other one is compared with it and leaves it at a branching depth, by a byte: smaller
+    ones leave to the left, the higher up the earlier, greater ones to the right. Those that leave at one node by one byte make up
+    the group below it; those that never leave are equal.
+    """
+    same = np.zeros(len(order) + 1, bool)
+    while len(first):
+        slot, group = _slots(first, size)
+        own = order[slot]
+        path, at = position[order[first]][group], position[own]
+        shared, below = np.full(len(own), window), np.zeros(len(own), bool)
+        open_ = np.arange(len(own))
+        for depth in [*range(shallow, window - 8, 8), window - 8]:
+            a, b = x[at[open_] + depth], x[path[open_] + depth]
+            apart = a != b
+            some = open_[apart]
+            shared[some], below[some] = depth + _leading_zeros((a ^ b)[apart]), (a < b)[apart]
+            open_ = open_[~apart]
+        leaves = shared == window
+        where = np.where(leaves | below, shared, 2 * window - shared)
+        byte = np.where(leaves, 0, data[at + np.where(leaves, 0, shared)])
+        by = np.lexsort((byte, where, group))
+        order[slot] = own[by]
+        group, where, byte, leaves = group[by], where[by], byte[by], leaves[by]
+        new = np.ones(len(by) + 1, bool)
+        new[1:-1] = (group[1:] != group[:-1]) | (where[1:] != where[:-1]) | (byte[1:] != byte[:-1])
+        same[slot[leaves & ~new[:-1]]] = True
+        edge = np.flatnonzero(new)
+        n = np.diff(edge)
+        edge = edge[:-1]
+        on = (n > 1) & ~leaves[edge]
+        first, size = slot[edge[on]], n[on]
+    return same[:-1]
+
+
+def suffix_order(data: np.ndarray, position: np.ndarray, window: int = WINDOW, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes at ``position`` in the order of their first ``window`` bytes, and whether each agrees in them with the one before it.
+
+    ``shallow`` is a multiple of 8 below window - 8; there are window bytes after every position.
     """
     x = np.append(data, np.zeros(8, np.uint8)).astype(U)
     x = x[:-1] << U(8) | x[1:]
     x = x[:-2] << U(16) | x[2:]
     x = x[:-4] << U(32) | x[4:]
-    out = np.zeros(len(position), np.int64)
-    left, group = _groups(np.arange(len(position)), x[position])
-    for depth in range(8, shallow, 8):
-        left, group = _groups(left, group, x[position[left] + depth])
-    made = 0
-    while len(left):
-        head = np.flatnonzero(np.diff(group, prepend=group[0] - 1))
-        dense = np.cumsum(np.diff(group, prepend=group[0]) != 0)
-        leader = position[left[head]][dense]
-        own = position[left]
-        shared = np.full(len(left), window)
-        open_ = np.arange(len(left))
-        for depth in [*range(shallow, window - 8, 8), window - 8]:
-            unlike = x[own[open_] + depth] ^ x[leader[open_] + depth]
-            apart = unlike != 0
-            shared[open_[apart]] = depth + _first_difference(unlike[apart])
-            open_ = open_[~apart]
-        leaf = shared == window
-        full = np.bincount(dense[leaf], minlength=len(head))
-        number = np.where(full > 1, made + 1 + np.arange(len(head)), 0)
-        made += len(head)
-        out[left[leaf]] = number[dense[leaf]]
-        left, dense, shared, own = left[~leaf], dense[~leaf], shared[~leaf], own[~leaf]
-        left, group = _groups(left, dense, shared, data[own + shared])
-    return out
+    order = np.arange(len(position))
+    if len(order) < 2:
+        return order, np.zeros(len(order), bool)
+    first, size = _quicksort(x, position, order, shallow)
+    return order, _tries(data, x, position, order, first, size, shallow, window)
 
 
 def _repeated(content: bytes, size: np.ndarray, number: np.ndarray, offset: np.ndarray, rank: np.ndarray, document: np.ndarray) -> np.ndarray:
     base = np.cumsum(size) - size
-    leaf = leaves(np.frombuffer(content, np.uint8), base[number] + offset)
-    held = np.flatnonzero(leaf)
-    order = held[np.lexsort((rank[held], leaf[held]))]
-    again = np.zeros(len(leaf), bool)
-    again[order[1:][leaf[order[1:]] == leaf[order[:-1]]]] = True
+    order, same = suffix_order(np.frombuffer(content, np.uint8), base[number] + offset)
+    run = np.cumsum(~same)
+    by = np.lexsort((rank[order], run))
+    again = np.zeros(len(order), bool)
+    again[order[by[1:][run[by[1:]] == run[by[:-1]]]]] = True
     return again
 
 
-def _cut(text: bytes, firsts: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    return [text[a : a + c + WINDOW - 1] for a, c in zip(firsts.tolist(), counts.tolist())]
-
-
 def _kept(data: bytes, gone: list[tuple[int, int]]) -> bytes:
     at, parts = 0, []
     for a, b in gone:
@@ -127,7 +168,7 @@ def _to_characters(data: bytes, gone: list[tuple[int, int]]) -> list[tuple[int,
 def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = pieces(docs)
     rows = dealt(docs, n)
-    finder = Finder(K, WINDOW, True, 4 * n, _encode, _cut, _repeated)
+    finder = Finder(K, WINDOW, True, 4 * n, _units, _codes, _repeated)
     finder.hot = hot(docs, finder)
     return rows, marked(rows, finder, n)
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tessera.llm import near_dedup, repeats, substring_dedup, suffix_dedup
 from tessera.llm.arrays import BYTE, Rolling
 from tessera.llm.components import components
-from tessera.llm.repeats import merged, segments
+from tessera.llm.repeats import digests_of, merged, segments
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -47,7 +47,6 @@ def test_near_copies_about_the_threshold(spark):
 
 
 def test_groups_split_into_parts(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "GROUP_ROWS", 8)
     monkeypatch.setattr(near_dedup, "STAR_ROWS", 3)
     monkeypatch.setattr(near_dedup, "MOST_BROADCAST", 1)
     docs, rows = documents(spark, 4, 90)
@@ -59,7 +58,7 @@ def test_hot_minimizers_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SAMPLE", 1)
     monkeypatch.setattr(repeats, "HOT", 3)
     docs, rows = documents(spark, 3)
-    assert len(repeats.hot(docs, repeats.Finder(32, 100, True, 4, suffix_dedup._encode, suffix_dedup._cut, suffix_dedup._repeated))) > 0
+    assert len(repeats.hot(docs, repeats.Finder(32, 100, True, 4, suffix_dedup._units, suffix_dedup._codes, suffix_dedup._repeated))) > 0
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs).collect()}
     assert got == byte_dedup(rows)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.dedup(docs).collect()}
@@ -102,18 +101,17 @@ def test_texts_keep_whole_characters(spark):
     assert got[2].startswith("a") and got[2].endswith("b") and got[3] == "" and set(got[1]) <= {"é"}
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text("ab", min_size=1, max_size=400), st.sampled_from([16, 24, 40]))
-def test_leaves_are_equal_windows(text, window):
+@settings(max_examples=80, deadline=None)
+@given(st.text("ab", min_size=1, max_size=400), st.sampled_from([(16, 8), (24, 8), (40, 24)]))
+def test_suffixes_are_sorted(text, shape):
+    """Quicksort and tries give the order of the windows, and tell which are equal."""
+    window, shallow = shape
     data = np.frombuffer(text.encode() + b"\0" * (window + 8), np.uint8)
-    at = np.arange(max(0, len(text) - window + 1))
-    got = suffix_dedup.leaves(data, at, window, 8)
-    of = {}
-    for p in at.tolist():
-        of.setdefault(text[p : p + window], []).append(p)
-    for same in of.values():
-        assert len({int(got[p]) for p in same}) == 1 and (got[same[0]] > 0) == (len(same) > 1)
-    assert len({int(x) for x in got if x}) == sum(len(s) > 1 for s in of.values())
+    at = np.random.default_rng(len(text)).permutation(max(0, len(text) - window + 1))
+    order, same = suffix_dedup.suffix_order(data, at, window, shallow)
+    got = [text[p : p + window] for p in at[order].tolist()]
+    assert got == sorted(got) and sorted(order.tolist()) == list(range(len(at)))
+    assert same.tolist() == [k > 0 and got[k] == got[k - 1] for k in range(len(got))]
 
 
 @settings(max_examples=60, deadline=None)
@@ -121,13 +119,105 @@ def test_leaves_are_equal_windows(text, window):
 def test_segments_hold_every_window_once(texts):
     data = "".join(texts).encode()
     at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    codes = BYTE[np.frombuffer(data, np.uint8)]
-    _, content, start, count = segments(codes, at, 6, 20)
+    grams = Rolling(BYTE[np.frombuffer(data, np.uint8)]).grams(6)
+    _, start, count = segments(grams, len(data), at, 6, 20)
     got = sorted(p for a, c in zip(start.tolist(), count.tolist()) for p in range(a, a + c))
     assert got == [p for a, b in zip(at[:-1], at[1:]) for p in range(a, b - 19)]
+    digest = digests_of(np.frombuffer(data, np.uint8), start, start + count + 19)
     by = {}
-    for h, a, c in zip(content.tolist(), start.tolist(), count.tolist()):
+    for h, a, c in zip(map(tuple, digest.tolist()), start.tolist(), count.tolist()):
         assert by.setdefault(h, data[a : a + c + 19]) == data[a : a + c + 19]
+    assert len(set(by.values())) == len(by)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=8, max_size=40), min_size=2, max_size=6))
+def test_extension_is_as_far_as_words_agree(rows):
+    """Classes of seeds, t words on, are those of equal words."""
+    codes = np.array([ord(x) for r in rows for x in r], np.uint64)
+    first = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    seeds = np.concatenate([np.arange(a, b) for a, b in zip(first[:-1], first[1:])])
+    own = np.searchsorted(first, seeds, "right") - 1
+    for step, room in ((1, first[own + 1] - seeds), (-1, seeds - first[own])):
+        got = substring_dedup._extended(codes, seeds, step, room, 12)
+        for t in range(1, 13):
+            of = {}
+            for k, s in enumerate(seeds.tolist()):
+                if room[k] >= t:
+                    of.setdefault(tuple(codes[s : s + t] if step > 0 else codes[s - t : s]), []).append(k)
+            for same in of.values():
+                assert {int(got[t, k]) for k in same} == {-1} if len(same) == 1 else len({int(got[t, k]) for k in same}) == 1 and got[t, same[0]] >= 0
+            assert len({int(x) for x in got[t] if x >= 0}) == sum(len(s) > 1 for s in of.values())
+
+
+def test_colliding_hashes_change_nothing(spark, monkeypatch):
+    """Units with two codes, so that unlike windows have one minimizer and one hash, hot ones included: contents decide, not hashes."""
+    few = lambda units: BYTE[(units & units.dtype.type(1)).astype(np.int64)]
+    monkeypatch.setattr(suffix_dedup, "_codes", few)
+    monkeypatch.setattr(substring_dedup, "_codes", few)
+    docs, rows = documents(spark, 5, 40)
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
+    for most in (10**9, 3):
+        monkeypatch.setattr(repeats, "HOT", most)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs).collect()}
+        assert got == byte_dedup(rows)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.dedup(docs).collect()}
+    assert got == word_dedup(rows)
+
+
+def test_null_ids_are_dealt_by_text(spark):
+    docs = table(spark, [(None, f"text number {k}", None, None) for k in range(400)])
+    assert repeats.dealt(docs, 16).select("pid").distinct().count() > 30
+    assert suffix_dedup.digests(docs).count() == substring_dedup.dedup(docs).count() == 400
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    """Texts above a piece give the same results as whole ones."""
+    from tessera.llm import arrays
+
+    monkeypatch.setattr(repeats, "PIECE", 300)
+    for name in ("blocks", "spans_of"):
+        monkeypatch.setattr(repeats, name, lambda at, most=200, *a, old=getattr(arrays, name): old(at, min(most, 300), *a))
+    docs, rows = documents(spark, 6, 30)
+    found = repeats.Finder(32, 100, True, 4, suffix_dedup._units, suffix_dedup._codes, None)
+    flat = np.frombuffer(("abc" * 900).encode() + bytes(range(97, 123)) * 40, np.uint8)
+    at = np.array([0, 5, 2000, len(flat)])
+    seen = sorted((int(r), p) for row, h, s, t, place, count, _ in found._found(flat, at) for r, a, c in zip(row, place.tolist(), count.tolist()) for p in range(a, a + c))
+    assert seen == [(r, p) for r in range(3) for p in range(int(at[r + 1] - at[r]) - 99)]
+
+
+def test_thue_morse_words_differ():
+    """Words of two letters that agree under any polynomial modulo 2**64."""
+    bits = np.array([bin(k).count("1") & 1 for k in range(4096)])
+    a, b = BYTE[97 + bits], BYTE[98 - bits]
+    assert (Rolling(a).grams(2048)[:1] != Rolling(b).grams(2048)[:1]).all()
+
+
+def test_ids_with_several_texts(spark):
+    """One text of each group stays, and texts found nowhere else always do, whatever shares their id."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, a), (5, b), (5, a), (9, c), (None, c), (None, "x y z"), (7, None), (7, None), (8, b + " more"), (5, b)]
+    docs = table(spark, [(*r, None, None) for r in rows])
+    got = [(r.doc_id, r.text) for r in near_dedup.dedup(docs).collect()]
+    assert {t for _, t in got if t} == {a, b, c, "x y z"} and len(got) == 7  # (5, b) twice, null texts twice
+    out = [(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()]
+    assert sorted(x for x in out if x[0] == 5) == [(5, 3, False), (5, 5, True), (5, 5, True)]
+
+
+def test_rarest_shingles_find_every_link(spark, tmp_path):
+    """Of documents that all share a bucket, each link between labels is found, as by comparing all pairs."""
+    r = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base[:40] + [f"v{i}{k}" for k in range(r.integers(0, 12))] + base[40 + r.integers(0, 3) :]) for i in range(60)]
+    docs = table(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    from tessera.llm.common import texts as keyed
+    from pyspark.sql import functions as F
+
+    rest = keyed(docs).select("rid", "th", F.struct("rid", "th").alias("label"))
+    got = {tuple(sorted((x.u.rid, x.v.rid))) for x in near_dedup._rest(docs, rest, 80, 4, 4, f"file://{tmp_path}/r").collect()}
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in map(str.split, texts)]
+    want = {(i, j) for j in range(60) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert got == want and len(want) > 20
 
 
 def test_hashes_tell_runs_apart():
