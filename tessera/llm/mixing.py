@@ -1,13 +1,15 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source is a queue; its documents wait in an order shuffled by a keyed hash, once and again for each pass over the source. A
-document's virtual finish time is the cumulative words of its queue up to and with it, divided by the queue's target.
-The mix is the documents in order of virtual finish time, cut off where the total budget is reached; the document
-that a queue is serving at the cut-off is taken in part.
-
-No queue is ever sorted in one task. Words are first summed for each (source, hash bin), the running sums over
-the bins are taken on that small table, and only the rows of one bin are ordered together. The number of bins grows
-with the number of documents, so a source with a third of all rows is spread over a third of all bins.
+document's virtual finish time is the cumulative words of its queue up to and with it, divided by the queue's target. All documents
+of all queues are range-sorted by it, and the mix is what comes first, cut off where the total budget is used up.
+The budget is the sum of the targets, each in whole words, so it ends at time 1; the document that a queue is serving then is
+preempted: its words up to the target finish at time 1, the others are a piece of their own that finishes later.
+
+No queue is ever sorted in one task, nor all of them. Words are first summed for each (source, hash bin), the running sums over
+the bins are taken on that small table, and only the rows of one bin are ordered together; a source with a third of all rows is spread over a
+third of all bins. The range sort is by bins of virtual time, even ones up to time 1 and even ones of its logarithm after it: all queues are served
+at an even rate, so no bin has more than its share of the words, and running totals over the bins come from a small table in the same way.
 """
 
 from __future__ import annotations
@@ -15,7 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, WORD, pieces
+from .common import NO_ID, WORD, pieces, shared_folder, written
+
+#: Input to one task of the range sort, of which only ids and sizes travel, and bins of virtual time to one such task.
+TASK_MB, BINS_A_TASK = 2_000.0, 4
+
 
 def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size): size is the number of words; a null text has none."""
@@ -46,14 +52,9 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     return per.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2, seed: str = "mix") -> DataFrame:
-    """One row for each document: doc_id, source, size, source_size, target, finish, taken.
-
-    ``finish`` has the virtual finish time of each pass, ``taken`` the words that the mix takes of each: all where the
-    document finishes by 1, none where it begins after 1. Time 1 is where the total budget ends, as the targets add up to it.
-    Nulls: a null source is a source of its own; a null doc_id is a document, shuffled as the smallest id. Repeated rows
-    are documents of their own. Sources without words have target 0 and no finish. An empty table gives no rows.
-    """
+def queued(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2, seed: str = "mix") -> DataFrame:
+    """The queues: (doc_id, source, size, source_size, target, bin, nth, pass, words, finish, late), one row for each pass of each document, two where it is
+    preempted at time 1, of which the later is ``late``. (source, bin, nth) tells a document from all others, repeated rows included."""
     sized = sizes(docs)
     bins = max(1, pieces(docs, 1.0))
     goal = targets(sized, weights, share, passes)
@@ -63,24 +64,50 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     queue = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     ahead = summed.select(F.col("source").alias("s"), F.col("bin").alias("b"), F.coalesce(F.sum("words").over(queue), F.lit(0)).alias("ahead"))
     ahead = ahead.join(goal.withColumnRenamed("source", "s2"), F.col("s").eqNullSafe(F.col("s2"))).drop("s2")
-    within = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("upto", F.sum("size").over(within))
+    inner = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size")
+    rows = rows.withColumn("upto", F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("nth", F.row_number().over(inner))
     rows = rows.join(ahead, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
-    upto = [F.col("ahead") + F.col("upto") + F.col("source_size") * p for p in range(passes)]
-    taken = F.array(*[F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - u + F.col("size"))).cast("long") for u in upto])
-    finish = F.array(*[F.when(F.col("target") > 0, u / F.col("target")) for u in upto])
-    return rows.select("doc_id", "source", "size", "source_size", "target", finish.alias("finish"), taken.alias("taken"))
-
+    rows = rows.withColumn("pass", F.explode(F.array(*map(F.lit, range(passes))))).withColumn("end", F.col("ahead") + F.col("upto") + F.col("source_size") * F.col("pass"))
+    whole = F.floor("target").cast("long")
+    in_time = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), whole - F.col("end") + F.col("size")))
+    piece = lambda words, end, late: F.struct(words.alias("words"), F.when(F.col("target") > 0, end / F.col("target")).alias("finish"), late.alias("late"))
+    first = F.when((in_time > 0) | (F.col("size") == 0), piece(in_time, F.least(F.col("end"), whole), F.lit(False)))
+    rest = F.when(in_time < F.col("size"), piece(F.col("size") - in_time, F.col("end"), F.lit(True)))
+    rows = rows.withColumn("piece", F.explode(F.filter(F.array(first, rest), lambda x: x.isNotNull())))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "bin", "nth", "pass", "piece.*")
+
+
+def served(docs: DataFrame, **how) -> DataFrame:
+    """The rows of queued() range-sorted by virtual finish time, with ``taken``: their words within the total budget."""
+    n = pieces(docs, TASK_MB)
+    bins = n * BINS_A_TASK
+    waiting = written(queued(docs, **how), f"{shared_folder(docs.sparkSession)}/queued")
+    late = bins + 1 + F.floor(F.log2("finish") * bins)
+    anywhere = F.pmod(F.hash("bin", "nth"), F.lit(bins))  # documents without words move nothing
+    waiting = waiting.withColumn("time", F.when(F.col("size") == 0, anywhere).when(F.col("late"), late).otherwise(F.floor(F.col("finish") * bins)).cast("int"))
+    budget = waiting.select("source", F.floor("target").cast("long").alias("whole")).distinct().agg(F.sum("whole")).first()[0] or 0
+    before = Window.orderBy("time").rowsBetween(Window.unboundedPreceding, -1)
+    totals = waiting.groupBy("time").agg(F.sum("words").alias("words")).select(F.col("time").alias("t"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
+    line = Window.partitionBy("time").orderBy("finish", "late", "source", "pass", "bin", "nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = waiting.repartitionByRange(n, "time").withColumn("upto", F.sum("words").over(line))
+    rows = rows.join(F.broadcast(totals), F.col("time") == F.col("t"))
+    left = F.lit(budget) - F.col("before") - F.col("upto") + F.col("words")
+    taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), left)).cast("long")
+    return rows.select("doc_id", "source", "size", "source_size", "target", "bin", "nth", "pass", "words", "finish", "late", taken.alias("taken"))
 
-def in_order(mixed: DataFrame) -> DataFrame:
-    """The mix itself: what each pass takes of each document, range-sorted by virtual finish time and cut off at the budget."""
-    served = mixed.select("*", F.posexplode(F.arrays_zip("finish", "taken")).alias("pass", "served")).drop("finish", "taken")
-    return served.select("doc_id", "source", "size", "pass", "served.finish", "served.taken").where("taken > 0").orderBy("finish", "source", "pass", "doc_id")
 
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2, seed: str = "mix") -> DataFrame:
+    """One row for each document: doc_id, source, size, source_size, target, finish, taken.
 
-def total(mixed: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, finish, taken: the words taken of each document over all passes."""
-    return mixed.withColumn("taken", F.aggregate("taken", F.lit(0).cast("long"), lambda a, x: a + x))
+    ``taken`` has the words that the mix takes of the document over all passes, ``finish`` its virtual finish time on the first.
+    Nulls: a null source is a source of its own; a null doc_id is a document, shuffled as the smallest id. Repeated rows
+    are documents of their own. Sources without words have target 0 and no finish. An empty table gives no rows.
+    """
+    rows = served(docs, weights=weights, share=share, passes=passes, seed=seed)
+    own = rows.groupBy("source", "bin", "nth").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")], F.max(F.when(F.col("pass") == 0, F.col("finish"))).alias("finish"), F.sum("taken").alias("taken"),
+    )
+    return own.select("doc_id", "source", "size", "source_size", "target", "finish", "taken")
 
 
 #: DuckDB SQL for the op9 query.
