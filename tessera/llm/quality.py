@@ -42,7 +42,13 @@ def features(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     slot = (word_codes(low, start, end) * U(0x9E3779B97F4A7C15)) >> U(64 - BITS)
     key = np.unique((text.astype(U) << U(BITS)) | slot)
     distinct = np.bincount((key >> U(BITS)).astype(np.int64), minlength=n)
-    total = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask[flat])])[at])
+    full = np.flatnonzero(np.diff(at))
+
+    def total(mask: np.ndarray) -> np.ndarray:
+        out = np.zeros(n)
+        out[full] = np.add.reduceat(mask[flat], at[full], dtype=np.int64) if len(full) else 0
+        return out
+
     size = np.maximum(np.diff(at), 1)
     steps = [np.log2(np.diff(first) + 1), 10 * distinct / np.maximum(np.diff(first), 1), np.minimum(40 * total(_SYMBOL) / size, 20), np.minimum(10 * total(_UPPER) / size, 9)]
     shape = np.stack([(k << 8 | s.astype(np.int64)).astype(U) for k, s in enumerate(steps)])
@@ -120,33 +126,43 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     return fit_arrays(f, at, got.column("grade").to_numpy().astype(np.int64))
 
 
-def classify(docs: DataFrame, model: Model, least: float = 0.5, keep: bool = False) -> DataFrame:
-    """doc_id, expected_grade, p_above_0, p_above_1 double, kept boolean: one row for each row. keep: with docs' own columns.
+def _tails(model: Model, batch: pa.RecordBatch, text: int) -> np.ndarray:
+    """P(grade > k) of each row for each k."""
+    flat, at = utf8(batch.column(text))
+    out = np.zeros((batch.num_rows, GRADES - 1))
+    for i, j in blocks(at):
+        out[i:j] = model.tails(*features(flat[at[i] : at[j]], at[i : j + 1] - at[i]))
+    return out
+
+
+def classify(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """doc_id, expected_grade, p_above_0, p_above_1 double, kept boolean: one row for each row.
 
     kept: the top grade has a probability of ``least`` or more. Null and empty texts have the features of no words. If nothing could be fitted,
-    the figures are null and every row is kept. Extra columns are passed over, unless keep.
+    the figures are null and every row is kept. Extra columns are passed over.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = sent.value
         for batch in batches:
-            n = batch.num_rows
-            tails = np.zeros((n, GRADES - 1))
-            if fitted.thresholds is not None:
-                flat, at = utf8(batch.column("text"))
-                for i, j in blocks(at):
-                    tails[i:j] = fitted.tails(*features(flat[at[i] : at[j]], at[i : j + 1] - at[i]))
-            none = np.full(n, fitted.thresholds is None)
+            none = np.full(batch.num_rows, fitted.thresholds is None)
+            tails = np.zeros((batch.num_rows, GRADES - 1)) if none.any() else _tails(fitted, batch, 1)
             figures = [pa.array(np.round(x, 6), mask=none) for x in (tails.sum(1), *tails.T)]
-            kept = pa.array(none | (tails[:, -1] >= least))
-            own = batch.columns if keep else [batch.column("doc_id")]
-            yield pa.RecordBatch.from_arrays([*own, *figures, kept], [*(batch.schema.names if keep else ["doc_id"]), *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *figures, pa.array(none | (tails[:, -1] >= least))], ["doc_id", *names])
 
     names = ["expected_grade", *(f"p_above_{k}" for k in range(GRADES - 1)), "kept"]
     schema = ", ".join(f"{x} {'boolean' if x == 'kept' else 'double'}" for x in names)
-    if keep:
-        head = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.mapInArrow(run, f"{head}, {schema}")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id long, {schema}")
+
+
+def select(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows that classify() keeps, in docs' columns whatever their names, all rows if nothing could be fitted."""
+    sent, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch if sent.value.thresholds is None else batch.filter(pa.array(_tails(sent.value, batch, text)[:, -1] >= least))
+
+    return docs.mapInArrow(run, docs.schema)
