@@ -3,7 +3,8 @@
 The distinct pre-tokens that a task meets go into a trie of bytes. A node's forward score, the best log probability of
 any segmentation of the bytes that lead to it, and the number of tokens of that segmentation are computed once, when the node is
 made; whatever shares the prefix reuses them. Terminals keep the counts, so a pre-token seen again costs one lookup.
-The operator is narrow: no shuffle. A trie that reaches ``max_nodes`` is begun anew, which changes no count.
+The operator is narrow: no shuffle. A trie that reaches ``max_nodes`` is begun anew, which changes no count, and what a pre-token has beyond
+``DEPTH`` bytes makes no nodes: its scores are kept as far back as the longest piece reaches.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from .arrays import text_blocks
 #: Fixed value: the pattern by which the public byte-level vocabularies split text before their merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Bytes of a pre-token that make nodes of the trie.
+DEPTH = 256
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -50,6 +54,7 @@ class Trie:
         self.logp = vocabulary.logp
         #: Ends of pieces: a segmentation's last piece can be found by growing to the left while this holds.
         self.ends = {p[i:] for p in vocabulary.logp for i in range(len(p))}
+        self.longest = max(map(len, vocabulary.logp))
         self.clear()
 
     def clear(self) -> None:
@@ -62,7 +67,7 @@ class Trie:
         logp, ends, children, score, tokens = self.logp, self.ends, self.children, self.score, self.tokens
         path = [0]
         node = 0
-        for i, byte in enumerate(data, 1):
+        for i, byte in enumerate(data[:DEPTH], 1):
             key = node << 8 | byte
             node = children.get(key, -1)
             if node < 0:
@@ -75,9 +80,27 @@ class Trie:
                 score.append(best)
                 tokens.append(count)
             path.append(node)
+        if len(data) > DEPTH:
+            return self._beyond(data, [(score[n], tokens[n]) for n in path])
         out = self.terminals[pretoken] = tokens[node], score[node]
         return out
 
+    def _beyond(self, data: bytes, known: list[tuple[float, int]]) -> tuple[int, float]:
+        """From the scores up to DEPTH bytes to those at the end, by the same recurrence over a window of the last ones."""
+        logp, ends, window = self.logp, self.ends, known[-self.longest :]
+        begin = len(known) - len(window)  # the bytes before which window begins
+        for i in range(len(known), len(data) + 1):
+            best, count, j = -math.inf, 0, i - 1
+            while j >= begin and (piece := data[j:i]) in ends:
+                if (p := logp.get(piece)) is not None and (s := window[j - begin][0] + p) > best:
+                    best, count = s, window[j - begin][1] + 1
+                j -= 1
+            window.append((best, count))
+            if len(window) > 4 * self.longest:
+                begin += len(window) - self.longest
+                del window[: -self.longest]
+        return window[-1][1], window[-1][0]
+
 
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, max_nodes: int = 400_000) -> DataFrame:
     """doc_id, n_pretokens, n_distinct, n_tokens long, logp double: one row for each row.
@@ -89,21 +112,21 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, max_nodes: int = 400_0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(sent.value)
-        split = regex.compile(sent.value.pattern).findall
+        split = regex.compile(sent.value.pattern).finditer
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for _, _, texts in text_blocks(batch.column("text")):
                 for text in texts:
-                    found = Counter(split(text))
-                    known, n, logp = trie.terminals, 0, 0.0
+                    found: Counter[str] = Counter(m.group() for m in split(text))
+                    n, logp = 0, 0.0
                     for pretoken in sorted(found):
-                        t, s = known.get(pretoken) or trie.insert(pretoken)
+                        if len(trie.score) > max_nodes:
+                            trie.clear()
+                        t, s = trie.terminals.get(pretoken) or trie.insert(pretoken)
                         n += t * (times := found[pretoken])
                         logp += s * times
                     for to, x in zip(out, (found.total(), len(found), n, logp)):
                         to.append(x)
-                    if len(trie.score) > max_nodes:
-                        trie.clear()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.float64())], ["doc_id", "n_pretokens", "n_distinct", "n_tokens", "logp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
