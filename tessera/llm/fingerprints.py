@@ -24,7 +24,10 @@ from .arrays import BYTE, Rolling, U, mix
 from .common import id_of, pieces, texts
 
 BINS = 128
-MAX_BLOCKS = 65_536
+#: Blocks at most: beyond 2 TB their rows grow in number, each block still being read as a stream. Ids sampled for each block's bounds.
+MAX_BLOCKS, IDS_A_BLOCK = 1 << 18, 20
+#: Bytes of a text parsed as one; a longer one is cut at its multiples, and the pieces' names are taken together.
+PIECE = 1 << 20
 _LOW64 = np.zeros(64, np.uint8)
 _DEBRUIJN = U(0x03F79D71B4CB0A89)
 _LOW64[((U(1) << np.arange(64, dtype=U)) * _DEBRUIJN) >> U(58)] = np.arange(64)
@@ -75,27 +78,57 @@ def parse(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names, np.searchsorted(begin, at)
 
 
-def sketches(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text: the hash of its parse, and BINS bytes, of which 0 is an empty bin."""
-    n = len(parts)
-    at = np.zeros(n + 1, np.int64)
+def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text: the hash of its parse, and BINS bytes, of which 0 is an empty bin. Some texts, or pieces of one, are parsed at a time."""
+    low = np.full(len(texts) * BINS, 0xFFFFFFFF, np.uint32)
+    root = np.zeros(len(texts), U)
+    parts: list[bytes] = []
+    owner: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        own = np.array(owner)
+        for k, r in zip(owner, _parsed(parts, own, low).tolist()):
+            root[k] = r if texts[k] is parts[owner.index(k)] else mix(root[k : k + 1] * BYTE[7] + U(r))[0]
+        parts.clear()
+        owner.clear()
+
+    for k, t in enumerate(texts):
+        for part in [t] if len(t) <= PIECE else [t[a : a + PIECE] for a in range(0, len(t), PIECE)]:
+            parts.append(part)
+            owner.append(k)
+            size += len(part)
+            if size > PIECE:
+                flush()
+                size = 0
+    flush()
+    sketch = np.where(low == 0xFFFFFFFF, 0, (mix(low.astype(U)) % U(255)).astype(np.uint8) + 1).astype(np.uint8)
+    return root, sketch.reshape(-1, BINS)
+
+
+def phrases(parts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(level, names, where each part's begin) from level 1 to the top, where each part that isn't empty has one name."""
+    at = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) for p in parts], out=at[1:])
-    low = np.full(n * BINS, 0xFFFFFFFF, np.uint32)
     x: np.ndarray = np.frombuffer(b"".join(parts), np.uint8)
     level = 0
-    root, open_ = np.zeros(n, U), np.ones(n, bool)
     while level < 3 or np.diff(at).max(initial=0) > 1:
         x, at = parse(x, at)
         level += 1
+        yield level, x, at
+
+
+def _parsed(parts: list[bytes], owner: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Each part's one name at its top; low gets the least hashes of the names of levels 2 and 3, by the parts' owner and bin."""
+    root, open_ = np.zeros(len(parts), U), np.ones(len(parts), bool)
+    for level, x, at in phrases(parts):
         done = open_ & (np.diff(at) == 1)
         root[done] = x[at[:-1][done]]
         open_ &= ~done
         if level in (2, 3) and len(x):
-            text = np.repeat(np.arange(n), np.diff(at))
             h = mix(x + U(level))
-            np.minimum.at(low, text * BINS + (h >> U(57)).astype(np.int64), (h & U(0xFFFFFFFE)).astype(np.uint32))
-    sketch = np.where(low == 0xFFFFFFFF, 0, (mix(low.astype(U)) % U(255)).astype(np.uint8) + 1).astype(np.uint8)
-    return root, sketch.reshape(n, BINS)
+            np.minimum.at(low, np.repeat(owner, np.diff(at)) * BINS + (h >> U(57)).astype(np.int64), (h & U(0xFFFFFFFE)).astype(np.uint32))
+    return root
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,28 +138,33 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(some > 0, 2 * same / (1 + same), 1.0)
 
 
-def _block(rid: Column, heads: list[int]) -> Column:
-    """Index of the last of the sorted heads that is at most rid, by binary search."""
-    at = F.lit(np.array(heads, np.int64))
+def _block(rid: Column, th: Column, heads: list[tuple[int, int]]) -> tuple[Column, Column]:
+    """Index of the last of the sorted heads (rid, th) that is at most the row's, by binary search, and whether it is the row's own."""
+    ids, hashes = (F.lit(np.array([h[k] for h in heads], np.int64)) for k in (0, 1))
     steps = [1 << k for k in reversed(range(max(1, (len(heads) - 1).bit_length())))]
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, s: F.when((low + s < len(heads)) & (F.get(at, low + s) <= rid), low + s).otherwise(low))
+    above = lambda i: (F.get(ids, i) < rid) | ((F.get(ids, i) == rid) & (F.get(hashes, i) <= th))
+    own = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, s: F.when((low + s < len(heads)) & above(low + s), low + s).otherwise(low))
+    return own, (F.get(ids, F.col("own")) == rid) & (F.get(hashes, F.col("own")) == th)
 
 
 def in_order(docs: DataFrame) -> DataFrame:
-    """(block, copy, rid, th, text): every row once with copy false and, if it heads a block, once more for the block before."""
+    """(block, copy, rid, th, text): every row once with copy false and, if it heads a block, once more for the block before.
+
+    Blocks are runs of rows in order of id and, for rows of one id, of their texts' hashes; each is placed by its number.
+    """
     rows = texts(docs)
-    ids = rows.select("rid")
+    ids = rows.select("rid", "th")
     n = min(MAX_BLOCKS, pieces(docs))
-    total, least = ids.agg(F.count("*"), F.min("rid")).first()
+    total, least = ids.agg(F.count("*"), F.min(F.struct("rid", "th"))).first()
     if not total:
         return rows.select(F.lit(0).alias("block"), F.lit(False).alias("copy"), "rid", "th", "text")
-    sample = sorted(r[0] for r in ids.sample(min(1.0, 40 * n / total), seed=7).collect())
-    heads = sorted({least, *(sample[len(sample) * i // n] for i in range(1, n) if sample)})
-    rows = rows.withColumn("own", _block(F.col("rid"), heads))
-    is_head = F.col("rid") == F.get(F.lit(np.array(heads, np.int64)), F.col("own"))
+    sample = sorted(map(tuple, ids.sample(min(1.0, IDS_A_BLOCK * n / total), seed=7).collect()))
+    heads = sorted({tuple(least), *(sample[len(sample) * i // n] for i in range(1, n) if sample)})
+    own, is_head = _block(F.col("rid"), F.col("th"), heads)
+    rows = rows.withColumn("own", own)
     dealt = F.array(F.struct(F.col("own").alias("block"), F.lit(False).alias("copy")), F.when(is_head, F.struct(F.pmod(F.col("own") - 1, F.lit(len(heads))).alias("block"), F.lit(True).alias("copy"))))
     rows = rows.withColumn("to", F.explode(F.filter(dealt, lambda x: x.isNotNull())))
-    return rows.select("to.block", "to.copy", "rid", "th", "text").repartition(n, "block").sortWithinPartitions("block", "copy", "rid", "th")
+    return rows.select("to.block", "to.copy", "rid", "th", "text").repartitionById(len(heads), F.col("block")).sortWithinPartitions("block", "copy", "rid", "th")
 
 
 OUT = "rid long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
