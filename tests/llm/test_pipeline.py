@@ -74,6 +74,27 @@ def test_near_duplicates_by_five_words(spark):
     assert got == set(group[5]) and got > set(group[4])
 
 
+def test_stages_of_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows and ids, clashing columns and empty tables pass all stages; clean texts stay, each once."""
+    folder = f"file://{tmp_path}/t"
+    corpus(spark, folder)
+    one, two = (" ".join(f"{x}{k}" for k in range(60)) for x in "pq")
+    rows = [(1, one, "en", "s", 0), (1, one, "en", "s", 0), (1, two, None, None, None), (2, one, "en", "s", 0), (None, None, None, None, None), (None, None, None, None, None), (3, "", "en", "s", 0), (4, "word", None, "s", 4)]
+    names = ["kept", "rid", "th", "label", "size", "taken", "x0", "removed", "expected_grade", "gone_rid", "key"]
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in rows], f"{SCHEMA}, {', '.join(f'{n} long' for n in names)}")
+    columns, kept = docs.columns, []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        empty = stage(spark, docs.limit(0), folder)
+        assert empty.count() == 0 and (k == 4 or empty.columns == columns)
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/odd{k}")
+        docs = spark.read.parquet(f"{tmp_path}/odd{k}")
+        kept.append(docs.collect())
+    assert len(kept[0]) == 8
+    assert sorted(str((r.doc_id, r.text)) for r in kept[1]) == sorted(str(x[:2]) for x in rows if x[:2] != (2, one))
+    assert {r.text for r in kept[2]} == {one, two, "", "word"} and len(kept[3]) == 7
+    assert {r.doc_id for r in kept[4]} == {1, 4}
+
+
 def test_every_query_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
