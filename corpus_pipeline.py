@@ -15,8 +15,7 @@ from tessera.llm.common import shared_folder, table, written
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps. It is fitted on the labels of this stage's documents."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.classify(docs, model, keep=True).where("kept").select(*docs.columns)
+    return quality.select(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +35,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with size, source_size, target, finish (of the first pass) and taken."""
-    mixed = mixing.total(mixing.mix(docs)).where("taken > 0")
-    return mixed.select("doc_id", "source", "size", "source_size", "target", F.get("finish", F.lit(0)).alias("finish"), "taken")
+    return mixing.mix(docs).where("taken > 0")
 
 
 STAGES = [
