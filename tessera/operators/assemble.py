@@ -14,6 +14,7 @@ from ..sources.tables import require
 from .select import keep_first
 
 HIGH = ["very_strong", "strong", "moderate"]
+#: Fixed value: the question of an example, which datasets made before share.
 PROMPT = "Solve the following dynamic programming problem. Provide a correct and efficient solution.\n\n"
 _NONE = "array<string>"
 
@@ -30,14 +31,12 @@ def verified(results: DataFrame, taxonomy: DataFrame, order: str | None = None)
     verification = F.struct("status", K.quality(F.col("status")).alias("quality"), "execution_time_ms", K.verification_method(F.col("status")).alias("verification_method"))
     dp = F.struct(F.col("dp_evidence_level").alias("evidence"), F.col("consensus_").alias("consensus"), "primary_family", F.coalesce("families", _none()).alias("families"))
     split = F.col("source_split") if "source_split" in results.columns else F.lit(None).cast("string").alias("source_split")
-    out = rows.select("problem_id", "source_id", "language", "source", split, "source_code", verification.alias("verification"), dp.alias("dp"))
-    return out.orderBy("problem_id", "verification.quality", "source_id")
+    return rows.select("problem_id", "source_id", "language", "source", split, "source_code", verification.alias("verification"), dp.alias("dp"))
 
 
 def failures(results: DataFrame) -> DataFrame:
     rows = results.where(F.col("status").isin(K.FAILED))
-    out = rows.select("problem_id", "source_id", "language", "source", "source_code", "status", "execution_time_ms", "stderr", "stdout", K.quality(F.col("status")).alias("failure_type"))
-    return out.orderBy("problem_id", "failure_type", "source_id")
+    return rows.select("problem_id", "source_id", "language", "source", "source_code", "status", "execution_time_ms", "stderr", "stdout", K.quality(F.col("status")).alias("failure_type"))
 
 
 def verified_summary(results: DataFrame, verified: DataFrame) -> DataFrame:
@@ -71,7 +70,7 @@ def problem_pool(taxonomy: DataFrame, groups: DataFrame, canonical: DataFrame, v
         "primary_family", *[F.coalesce(c, _none()).alias(c) for c in lists], "dp_evidence_level", "dp_consensus", n.alias("verified_solution_count"),
         F.coalesce("statuses_", _none()).alias("verification_statuses"), (n > 0).alias("has_verified_solution"), F.coalesce("flags_", _none()).alias("relationship_flags"),
         F.coalesce("versions_", _none()).alias("version_family_members"), F.coalesce("edges_", F.lit(0)).cast("long").alias("relationship_count"), F.col("source_").alias("source"), "source_split",
-    ).orderBy("problem_id")
+    )
 
 
 def pool_summary(pool: DataFrame) -> DataFrame:
@@ -95,12 +94,11 @@ def pool_counts(pool: DataFrame) -> DataFrame:
 def gold_seeds(pool: DataFrame) -> DataFrame:
     """Problems with moderate evidence or better and a verified solution; those without a family are for training only."""
     rows = pool.where(F.col("dp_evidence_level").isin(HIGH) & F.coalesce("has_verified_solution", F.lit(False)))
-    out = rows.select(
+    return rows.select(
         "problem_id", "canonical_group_id", "canonical_hash", "title", "rating", "primary_family", "families", "dimensions", "transition_style", "optimizations", "state_signals",
         "dp_evidence_level", "dp_consensus", "verified_solution_count", "verification_statuses", K.quality_tier(F.col("dp_evidence_level")).alias("quality_tier"),
         K.seed_role(F.col("primary_family")).alias("role"), "relationship_flags", "version_family_members", "source", "source_split",
     )
-    return out.orderBy("role", F.coalesce("primary_family", F.lit("unresolved")), F.coalesce(-F.col("rating"), F.lit(0)), "problem_id")
 
 
 def gold_counts(seeds: DataFrame) -> DataFrame:
@@ -158,6 +156,13 @@ def concepts_summary(concepts: DataFrame) -> DataFrame:
     return concepts.agg(F.count("*").alias("total_dp_problems"), F.count_if("verification.has_verified_solution").alias("problems_with_verified_solutions"), F.count_if(F.col("code_analysis.solutions_with_code") > 0).alias("problems_with_code_analysis"))
 
 
+def concept_counts(concepts: DataFrame) -> DataFrame:
+    """(what, value, count) of primary families, which null ones aren't among, and of implementation patterns."""
+    family = concepts.select(F.lit("primary_family").alias("what"), F.col("family.primary").alias("value")).where("value IS NOT NULL")
+    pattern = concepts.select(F.lit("implementation_pattern").alias("what"), F.explode("code_analysis.implementation_patterns").alias("value"))
+    return family.unionByName(pattern).groupBy("what", "value").count()
+
+
 def usable(results: DataFrame, pool: DataFrame, problems: DataFrame) -> DataFrame:
     """Accepted and passed solutions with code, of pool problems that have a statement, with the statement."""
     ok = (F.col("verdict") == "OK") & F.col("status").isin(K.PASSED) & (X.strip(F.coalesce("source_code", F.lit(""))) != "")
@@ -197,6 +202,26 @@ def examples(usable: DataFrame, pool: DataFrame, splits: DataFrame) -> DataFrame
     return df.select("split", messages.alias("messages"), F.struct("problem_id", "family", "rating", "language", "source_id").alias("metadata"))
 
 
+def shuffled(examples: DataFrame, seed: int = 42, mode: str = "hash") -> DataFrame:
+    """Examples with ``place``, their place in their split's shuffled order, for sinks to sort by.
+
+    mode "hash" draws a keyed hash for each: places are texts in no other order. mode "exact" is CPython's shuffle of each split, one after the other in the order
+    train, val, test, from the state in which the seed's shuffle of the problems left the generator; on the driver, for small sets alone.
+    """
+    key = F.concat_ws("|", F.lit(str(seed)), "metadata.problem_id", "metadata.source_id", F.sha2(F.get("messages", F.lit(1))["content"], 256))
+    if mode == "hash":
+        return examples.withColumn("place", F.sha2(key, 256))
+    rows = examples.select("split", "metadata.problem_id", "metadata.source_id", F.sha2(key, 256).alias("key")).orderBy("problem_id", "source_id", "key").collect()
+    rng, out = random.Random(seed), []
+    rng.shuffle([*range(len({r.problem_id for r in rows}))])
+    for split in ("train", "val", "test"):
+        own = [r.key for r in rows if r.split == split]
+        rng.shuffle(own)
+        out += [(k, f"{i:012}") for i, k in enumerate(own)]
+    places = examples.sparkSession.createDataFrame(out, "key_ string, place string")
+    return examples.withColumn("key_", F.sha2(key, 256)).join(places.dropDuplicates(["key_"]), "key_").drop("key_")
+
+
 def split_sizes(examples: DataFrame) -> DataFrame:
     return examples.groupBy("split").agg(F.count_distinct("metadata.problem_id").alias("problems"), F.count("*").alias("examples"))
 

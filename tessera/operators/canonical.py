@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring as K
 from ..functions import text as X
-from ..sources.tables import spread, staged
+from ..sources.tables import numbered, spread, staged
 
 THRESHOLD = 0.62
 MAX_POSTINGS = 40
@@ -33,9 +33,9 @@ def canonical_records(problems: DataFrame, taxonomy: DataFrame | None = None, co
 
 
 def exact_groups(canonical: DataFrame) -> DataFrame:
-    """(exact_hash, problem_ids, count) of hashes with several problems, the largest first."""
+    """(exact_hash, problem_ids, count) of hashes with several problems."""
     per = canonical.groupBy(F.col("canonical.exact_hash").alias("exact_hash")).agg(F.sort_array(F.collect_list("problem_id")).alias("problem_ids"), F.count("*").alias("count"))
-    return per.where("count > 1").orderBy(F.desc("count"), "problem_ids")
+    return per.where("count > 1")
 
 
 def exact_summary(canonical: DataFrame) -> DataFrame:
@@ -44,46 +44,49 @@ def exact_summary(canonical: DataFrame) -> DataFrame:
 
 
 def prepared(problems: DataFrame, compose: bool = True) -> DataFrame:
-    """(problem_id, words, title_set, word_set, shingle_set): shingles as 64-bit hashes. The title is no part of the statement."""
+    """(problem_id, words, title_set, word_set, shingle_set): all as 64-bit hashes. The title is no part of the statement."""
     fields = [f for f in X.TEXT_FIELDS if f != "title" and f in problems.columns]
     problems = spread(problems.select("id", "title", *fields))
     df = problems.select(F.col("id").cast("string").alias("problem_id"), X.plain_words(X.joined_fields(*map(F.col, fields)), compose).alias("body_"), X.plain_words(F.col("title"), compose).alias("title_"))
-    df = X.barrier(df, "body_", "title_").select("problem_id", X.tokens(F.col("body_")).alias("words"), F.array_distinct(X.tokens(F.col("title_"))).alias("title_set"))
-    df = X.barrier(df, "words", "title_set")
-    return X.barrier(df.withColumn("word_set", F.array_distinct("words")).withColumn("shingle_set", X.shingle_hashes(F.col("words"))), "word_set", "shingle_set")
+    df = X.barrier(df, "body_", "title_").select("problem_id", X.tokens(F.col("body_")).alias("words"), X.tokens(F.col("title_")).alias("title"))
+    df = X.barrier(df, "words", "title")
+    hashed = lambda c: F.transform(c, lambda w: F.xxhash64(w))
+    df = df.select("problem_id", hashed("words").alias("words"), F.array_distinct(hashed("title")).alias("title_set"), X.shingle_hashes(F.col("words")).alias("shingle_set"))
+    return X.barrier(df.withColumn("word_set", F.array_distinct("words")), "words", "word_set", "title_set", "shingle_set")
 
 
-def candidate_pairs(prepared: DataFrame, max_postings: int = MAX_POSTINGS, min_shared: int = MIN_SHARED) -> DataFrame:
+def postings(prepared: DataFrame) -> DataFrame:
+    """(shingle, problem_id, count) of shingles that several problems have, with their number: most shingles are alone and gone before any list is made."""
+    rows = prepared.select("problem_id", F.explode("shingle_set").alias("shingle"))
+    return rows.join(rows.groupBy("shingle").count().where("count >= 2"), "shingle")
+
+
+def candidate_pairs(postings: DataFrame, max_postings: int = MAX_POSTINGS, min_shared: int = MIN_SHARED) -> DataFrame:
     """(a, b, shared), a < b: problems that share shingles, but for those in more than max_postings problems.
 
-    Frequent shingles are found by a count with partial sums and are gone before any list is made, so no list is longer than
+    Frequent shingles are known by a count with partial sums and are gone before any list is made, so no list is longer than
     max_postings and no shingle makes more than max_postings**2 / 2 pairs.
     """
-    postings = prepared.select("problem_id", F.explode("shingle_set").alias("shingle"))
-    useful = postings.groupBy("shingle").count().where((F.col("count") >= 2) & (F.col("count") <= max_postings)).select("shingle")
-    lists = postings.join(useful, "shingle").groupBy("shingle").agg(F.sort_array(F.collect_set("problem_id")).alias("ids"))
+    lists = postings.where(F.col("count") <= max_postings).groupBy("shingle").agg(F.sort_array(F.collect_set("problem_id")).alias("ids"))
     lists = X.barrier(lists, "ids")
     firsts = lists.select("ids", F.posexplode("ids").alias("i", "a"))
     pairs = firsts.select("a", F.explode(F.slice("ids", F.col("i") + 2, F.greatest(F.size("ids") - F.col("i") - 1, F.lit(0)))).alias("b"))
     return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= min_shared)
 
 
-def possible_pairs(prepared: DataFrame, pairs: DataFrame, threshold: float, max_postings: int = MAX_POSTINGS) -> DataFrame:
+def possible_pairs(facts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """Pairs that could reach the threshold by the sizes of their sets, so that the sets needn't travel with the others.
 
     Two problems have no more shingles in common than those counted and the fewer of their frequent ones.
     """
-    postings = prepared.select("problem_id", F.explode("shingle_set").alias("shingle"))
-    frequent = postings.groupBy("shingle").count().where(F.col("count") > max_postings).select("shingle")
-    often = postings.join(frequent, "shingle").groupBy("problem_id").agg(F.count("*").alias("often"))
-    sizes = prepared.select("problem_id", *[F.size(f"{x}_set").alias(x) for x in ("shingle", "word", "title")]).join(often, "problem_id", "left").fillna(0, ["often"])
+    sizes = facts.select("problem_id", "shingles", *[F.size(f"{x}_set").alias(x) for x in ("word", "title", "often")])
     df = pairs
     for s in "ab":
-        df = df.join(sizes.select(F.col("problem_id").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("shingle", "word", "title", "often")]), s)
+        df = df.join(sizes.select(F.col("problem_id").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("shingles", "word", "title", "often")]), s)
     least, most = (lambda x: F.least(f"{x}_a", f"{x}_b")), (lambda x: F.greatest(f"{x}_a", f"{x}_b"))
-    common = F.least(F.col("shared") + least("often"), least("shingle"))
+    common = F.least(F.col("shared") + least("often"), least("shingles"))
     ratio = lambda x: F.when(most(x) == 0, 1.0).otherwise(least(x) / most(x))
-    best = K.blended(common / (F.col("shingle_a") + F.col("shingle_b") - common), F.lit(1.0), ratio("word"), ratio("title"))
+    best = K.blended(common / (F.col("shingles_a") + F.col("shingles_b") - common), F.lit(1.0), ratio("word"), ratio("title"))
     return df.where(best >= threshold - 1e-6).select("a", "b", "shared")
 
 
@@ -94,17 +97,23 @@ def _common(x: str) -> Column:
 def near_duplicates(problems: DataFrame, canonical: DataFrame, threshold: float = THRESHOLD, max_postings: int = MAX_POSTINGS, min_shared: int = MIN_SHARED, compose: bool = True) -> DataFrame:
     """Pairs whose blended similarity, rounded, reaches the threshold; equal hashes are left to exact_groups().
 
-    The cosine is the costly part, so pairs that can't reach the threshold with a cosine of 1 are gone before it is computed, and
-    only documents of such pairs have their words counted. Tokens and remaining pairs are staged: both are read several times.
+    Shingles in common are the shared ones that are counted already and the frequent ones that both have, so sets of shingles don't travel.
+    The cosine is the costly part: pairs that can't reach the threshold with a cosine of 1 are gone before it is computed, and
+    only documents of such pairs have their words counted. What is read several times is staged.
     """
     ready = staged(prepared(problems.join(canonical.select(F.col("problem_id").alias("id")), "id", "left_semi"), compose))
-    facts = canonical.select("problem_id", "title", "rating", F.col("canonical.exact_hash").alias("exact_hash"), F.col("dp.primary_family").alias("family"))
-    sets = ready.join(facts, "problem_id").select("problem_id", F.struct("title", "rating", "exact_hash", "family", "title_set", "word_set", "shingle_set").alias("x_"))
-    pairs = possible_pairs(ready, candidate_pairs(ready, max_postings, min_shared), threshold, max_postings).select("a", "b")
+    shared = staged(postings(ready))
+    often = shared.where(F.col("count") > max_postings).groupBy("problem_id").agg(F.collect_set("shingle").alias("often_set"))
+    known = canonical.select("problem_id", "title", "rating", F.col("canonical.exact_hash").alias("exact_hash"), F.col("dp.primary_family").alias("family"))
+    facts = ready.select("problem_id", "title_set", "word_set", F.size("shingle_set").alias("shingles")).join(often, "problem_id", "left").join(known, "problem_id")
+    facts = staged(facts.withColumn("often_set", F.coalesce("often_set", F.array().cast("array<bigint>"))))
+    sets = facts.select("problem_id", F.struct("title", "rating", "exact_hash", "family", "title_set", "word_set", "often_set", "shingles").alias("x_"))
+    pairs = possible_pairs(facts, candidate_pairs(shared, max_postings, min_shared), threshold)
     df = pairs.join(sets.select(F.col("problem_id").alias("a"), F.col("x_").alias("a_")), "a").join(sets.select(F.col("problem_id").alias("b"), F.col("x_").alias("b_")), "b")
     df = df.where(F.col("a_.exact_hash") != F.col("b_.exact_hash"))
     sizes = lambda x: (F.size(f"a_.{x}"), F.size(f"b_.{x}"))
-    df = df.select("a", "b", *[K.jaccard(_common(f"{x}_set"), *sizes(f"{x}_set")).alias(x) for x in ("title", "word", "shingle")], *[F.struct(*[F.col(f"{s}_.{c}") for c in ("title", "rating", "family")]).alias(f"{s}_") for s in "ab"])
+    shingle = K.jaccard(F.col("shared") + _common("often_set"), F.col("a_.shingles"), F.col("b_.shingles"))
+    df = df.select("a", "b", shingle.alias("shingle"), *[K.jaccard(_common(f"{x}_set"), *sizes(f"{x}_set")).alias(x) for x in ("title", "word")], *[F.struct(*[F.col(f"{s}_.{c}") for c in ("title", "rating", "family")]).alias(f"{s}_") for s in "ab"])
     df = X.barrier(df, "title", "word", "shingle").where(F.col("word") >= LEAST_TOKENS)
     df = df.where(K.blended(F.col("shingle"), F.lit(1.0), F.col("word"), F.col("title")) >= threshold - 1e-6)
     df = staged(df)
@@ -125,15 +134,15 @@ def near_duplicates(problems: DataFrame, canonical: DataFrame, threshold: float
         F.col("a_.family").alias("dp_family_a"), F.col("b_.family").alias("dp_family_b"),
     )
     out = df.select(F.col("a").alias("problem_a"), F.col("b").alias("problem_b"), similarity.alias("similarity"), F.col("a_.title").alias("title_a"), F.col("b_.title").alias("title_b"))
-    return out.where(F.col("similarity.score") >= threshold).orderBy(F.desc("similarity.score"), "problem_a", "problem_b")
+    return out.where(F.col("similarity.score") >= threshold)
 
 
 def exact_ids(canonical: DataFrame) -> DataFrame:
-    """(problem_id, group_id) of problems in exact groups, numbered by hash. The numbering sorts one row a group."""
+    """(problem_id, group_id) of problems in exact groups, numbered by hash."""
     per = canonical.select("problem_id", X.first_hash(canonical).alias("hash_"))
     groups = per.groupBy("hash_").count().where("count > 1")
-    numbered = groups.select("hash_", F.format_string("exact_%04d", F.row_number().over(Window.orderBy("hash_"))).alias("group_id"))
-    return per.join(numbered, "hash_").select("problem_id", "group_id")
+    named = numbered(groups.select("hash_"), "hash_", "nth_").select("hash_", F.format_string("exact_%04d", "nth_").alias("group_id"))
+    return per.join(named, "hash_").select("problem_id", "group_id")
 
 
 def relationships(near: DataFrame, canonical: DataFrame) -> DataFrame:
@@ -144,8 +153,7 @@ def relationships(near: DataFrame, canonical: DataFrame) -> DataFrame:
         df = df.join(ends.select(F.col("problem_id").alias(f"problem_{s}"), F.col("hash_").alias(f"hash_{s}"), F.col("group_id").alias(f"canonical_group_{s}")), f"problem_{s}")
     score = F.col("similarity.score")
     same_hash, same_base = F.col("hash_a") == F.col("hash_b"), X.base_id(F.col("problem_a")) == X.base_id(F.col("problem_b"))
-    out = df.select("problem_a", "problem_b", score.alias("similarity_score"), K.relationship(same_hash, same_base, score).alias("relationship"), same_base.alias("same_base_id"), same_hash.alias("same_canonical_hash"), "canonical_group_a", "canonical_group_b", "title_a", "title_b")
-    return out.orderBy("relationship", F.desc("similarity_score"), "problem_a", "problem_b")
+    return df.select("problem_a", "problem_b", score.alias("similarity_score"), K.relationship(same_hash, same_base, score).alias("relationship"), same_base.alias("same_base_id"), same_hash.alias("same_canonical_hash"), "canonical_group_a", "canonical_group_b", "title_a", "title_b")
 
 
 def problem_groups(canonical: DataFrame) -> DataFrame:
@@ -153,4 +161,4 @@ def problem_groups(canonical: DataFrame) -> DataFrame:
     df = canonical.select("problem_id").join(exact_ids(canonical), "problem_id", "left")
     kind = F.when(F.col("group_id").isNotNull(), "exact_duplicate_group").otherwise("independent_problem")
     gid = F.coalesce("group_id", F.concat(F.lit("problem_"), "problem_id"))
-    return df.select("problem_id", gid.alias("canonical_group_id"), kind.alias("group_type"), X.base_id(F.col("problem_id")).alias("base_problem_id")).orderBy("problem_id")
+    return df.select("problem_id", gid.alias("canonical_group_id"), kind.alias("group_type"), X.base_id(F.col("problem_id")).alias("base_problem_id"))

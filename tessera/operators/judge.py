@@ -11,6 +11,8 @@ from __future__ import annotations
 import contextlib
 import os
 import resource
+import select
+import selectors
 import shutil
 import signal
 import subprocess
@@ -34,6 +36,8 @@ COMPILERS = {"pypy": "pypy", "python": "python", "c++20": "cpp20", "c++17": "cpp
 ACCEPTED, REJECTED = ("1", "100"), ("0",)
 COMPILE_SECONDS, CHECK_SECONDS, LEAST_SECONDS = 60.0, 5.0, 2.0
 ERROR_TAIL, OUTPUT_TAIL = 4000, 2000
+#: What a program may print: beyond it the program is ended, as limits on files don't bind pipes.
+MOST_OUTPUT = 64 << 20
 COLUMNS = [c.split()[0] for c in RESULT.split(", ")]
 
 
@@ -58,21 +62,54 @@ class Ran:
     ms: float
 
 
-def run(command: list[str], folder: Path, data: str, seconds: float, limits: Limits | None) -> Ran:
+def _kill(process: subprocess.Popen) -> None:
+    with contextlib.suppress(ProcessLookupError):
+        os.killpg(process.pid, signal.SIGKILL)
+
+
+def run(command: list[str], folder: Path, data: str, seconds: float, limits: Limits | None, most: int = MOST_OUTPUT) -> Ran:
+    """Runs a program on some input. A program that is out of time, or has printed more than ``most`` bytes, is ended: the first has no code, the other one above 0."""
     began = time.perf_counter()
+    ms = lambda: (time.perf_counter() - began) * 1000
     try:
-        process = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, text=True, errors="replace", cwd=folder, start_new_session=True, preexec_fn=limits.apply if limits else None)
+        process = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, cwd=folder, start_new_session=True, preexec_fn=limits.apply if limits else None)
     except (OSError, subprocess.SubprocessError) as e:
-        return Ran(-1, "", str(e), (time.perf_counter() - began) * 1000)
+        return Ran(-1, "", str(e), ms())
+    rest, got, too_much = memoryview(data.encode("utf-8", "surrogatepass")), {process.stdout: bytearray(), process.stderr: bytearray()}, False
+    with selectors.DefaultSelector() as ready:
+        for pipe in got:
+            ready.register(pipe, selectors.EVENT_READ)
+        if rest:
+            ready.register(process.stdin, selectors.EVENT_WRITE)
+        else:
+            process.stdin.close()
+        while len(ready.get_map()) and not too_much and (left := began + seconds - time.perf_counter()) > 0:
+            for key, _ in ready.select(left):
+                pipe = key.fileobj
+                if pipe is process.stdin:
+                    try:
+                        rest = rest[os.write(pipe.fileno(), rest[: select.PIPE_BUF]) :]
+                    except BrokenPipeError:
+                        rest = rest[:0]
+                    if not rest:
+                        ready.unregister(pipe)
+                        pipe.close()
+                elif part := os.read(pipe.fileno(), 1 << 16):
+                    got[pipe] += part
+                    too_much = sum(map(len, got.values())) > most
+                else:
+                    ready.unregister(pipe)
     code: int | None = None
-    try:
-        out, err = process.communicate(data, timeout=seconds)
-        code = process.returncode
-    except subprocess.TimeoutExpired:
-        with contextlib.suppress(ProcessLookupError):
-            os.killpg(process.pid, signal.SIGKILL)
-        out, err = process.communicate()
-    return Ran(code, out or "", err or "", (time.perf_counter() - began) * 1000)
+    if not too_much:
+        with contextlib.suppress(subprocess.TimeoutExpired):
+            code = process.wait(max(0.0, began + seconds - time.perf_counter()))
+    _kill(process)
+    process.wait()
+    for pipe in (process.stdin, process.stdout, process.stderr):
+        with contextlib.suppress(OSError):
+            pipe.close()
+    out, err = (bytes(x).decode("utf-8", "replace").replace("\r\n", "\n").replace("\r", "\n") for x in got.values())
+    return Ran(1 if too_much else code, out, err + ("\nOutput limit exceeded" if too_much else ""), ms())
 
 
 def compiler_of(language: str) -> str | None:

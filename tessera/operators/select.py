@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,13 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("nth_", nth).where("nth_ = 1").drop("nth_")
 
 
-def shuffled_first(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows in an order drawn by a keyed hash: the scalable form of a seeded shuffle."""
+def shuffled_first(df: DataFrame, key: str, n: int, seed: int = 42, mode: str = "hash", order: str | None = None) -> DataFrame:
+    """n rows in an order drawn by a keyed hash: the scalable form of a seeded shuffle.
+
+    mode "exact" takes the first n of CPython's shuffle of the keys in the order of a column, on the driver: for small sets alone.
+    """
+    if mode == "exact":
+        keys = [r[0] for r in df.select(key, *([order] if order else [])).orderBy(order or key).select(key).collect()]
+        random.Random(seed).shuffle(keys)
+        return df.where(F.col(key).isin(keys[:n]))
     return df.orderBy(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)

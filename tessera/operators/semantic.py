@@ -88,7 +88,7 @@ def agreed(extracted: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def summary(rows: DataFrame) -> DataFrame:
-    """(what, value, count) of statuses, agreement levels and primary families."""
-    cols = {"status": F.col("status"), "agreement_level": F.col("agreement.level"), "family": F.col("family_evidence.primary")}
+    """(what, value, count) of rows, statuses, agreement levels and primary families."""
+    cols = {"rows": F.lit("all"), "status": F.col("status"), "agreement_level": F.col("agreement.level"), "family": F.col("family_evidence.primary")}
     out = rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("what"), c.alias("value")) for k, c in cols.items()])).alias("x")).select("x.*")
     return out.where("what <> 'agreement_level' OR value IS NOT NULL").groupBy("what", "value").count()

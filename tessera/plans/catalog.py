@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import concept_json, patterns as P, scoring as K, text as X
-from ..operators import assemble, canonical, collect, judge, select, signals, taxonomy
-from ..sources import schemas
+from ..operators import assemble, canonical, collect, judge, select, semantic, signals, taxonomy
+from ..sources import schemas, tables
 from ..sources.tables import staged
 from . import standins as S
 from .oracle import COMPILER, sql
@@ -50,12 +50,11 @@ def literal(values: list[tuple]) -> str:
 
 
 def canonicals(spark: SparkSession, d: str, tax: DataFrame | None = None) -> DataFrame:
-    """The test texts are in compatibility form already, and SQL has no such form: it is left out."""
-    return canonical.canonical_records(S.problems(spark, d), tax, compose=False)
+    return canonical.canonical_records(S.problems(spark, d), tax)
 
 
 def near(spark: SparkSession, d: str, records: DataFrame | None = None) -> DataFrame:
-    return canonical.near_duplicates(S.problems(spark, d), staged(canonicals(spark, d)) if records is None else records, compose=False)
+    return canonical.near_duplicates(S.problems(spark, d), staged(canonicals(spark, d)) if records is None else records)
 
 
 def related(spark: SparkSession, d: str, records: DataFrame | None = None) -> DataFrame:
@@ -71,27 +70,33 @@ def signalled(spark: SparkSession, d: str) -> DataFrame:
     return signals.solution_signals(collect.solutions(S.submissions(spark, d, True), failure=False))
 
 
-def evidence_of(spark: SparkSession, d: str) -> DataFrame:
-    return signals.evidence(candidates_of(spark, d), signals.problem_signals(signalled(spark, d)))
+def evidence_of(spark: SparkSession, d: str, found: DataFrame | None = None) -> DataFrame:
+    return signals.evidence(candidates_of(spark, d) if found is None else found, signals.problem_signals(signalled(spark, d)))
 
 
 def taxonomy_of(spark: SparkSession, d: str) -> DataFrame:
-    return taxonomy.taxonomy(candidates_of(spark, d), evidence_of(spark, d))
+    found = staged(candidates_of(spark, d))
+    return taxonomy.taxonomy(found, evidence_of(spark, d, found))
 
 
-def verified_of(spark: SparkSession, d: str) -> DataFrame:
-    return assemble.verified(S.results(spark, d), taxonomy_of(spark, d), order="event_id")
+def verified_of(spark: SparkSession, d: str, tax: DataFrame | None = None) -> DataFrame:
+    return assemble.verified(S.results(spark, d), taxonomy_of(spark, d) if tax is None else tax, order="event_id")
 
 
-def pool_of(spark: SparkSession, d: str) -> DataFrame:
+def pool_and_verified(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Tables that several steps read are staged, as the flow does between its stages."""
     c, tax = staged(canonicals(spark, d)), staged(taxonomy_of(spark, d))
-    return assemble.problem_pool(tax, canonical.problem_groups(c), c, assemble.verified(S.results(spark, d), tax, order="event_id"), related(spark, d, c))
+    verified = staged(verified_of(spark, d, tax))
+    return assemble.problem_pool(tax, canonical.problem_groups(c), c, verified, related(spark, d, c)), verified
+
+
+def pool_of(spark: SparkSession, d: str) -> DataFrame:
+    return pool_and_verified(spark, d)[0]
 
 
 def examples_of(spark: SparkSession, d: str) -> DataFrame:
     pool = staged(pool_of(spark, d))
-    ok = assemble.usable(S.results(spark, d), pool, S.problems(spark, d))
+    ok = staged(assemble.usable(S.results(spark, d), pool, S.problems(spark, d)))
     return assemble.examples(ok, pool, assemble.split_ids(ok, "problem_id"))
 
 
@@ -115,7 +120,7 @@ def exact_dup_summary(spark, d):
 
 @query("SELECT a, b, shared FROM pairs")
 def shingle_pairs(spark, d):
-    return canonical.candidate_pairs(staged(canonical.prepared(S.problems(spark, d), compose=False)))
+    return canonical.candidate_pairs(staged(canonical.postings(staged(canonical.prepared(S.problems(spark, d))))))
 
 
 @query("SELECT * FROM near")
@@ -129,6 +134,18 @@ def relationships(spark, d):
     return related(spark, d).drop("same_canonical_hash", "title_a", "title_b")
 
 
+@query("SELECT problem_id, exact_hash, primary_family, coalesce(array_to_string(families, ','), '') AS families, evidence_level AS evidence, dp_consensus AS consensus FROM canonical LEFT JOIN taxonomy USING (problem_id)")
+def canonical_taxonomy(spark, d):
+    c = canonicals(spark, d, taxonomy_of(spark, d))
+    return c.select("problem_id", "canonical.exact_hash", "dp.primary_family", joined("dp.families").alias("families"), "dp.evidence", "dp.consensus")
+
+
+@query("SELECT problem_a, problem_b, score, coalesce(x.primary_family = y.primary_family, false) AS same_dp_family, x.primary_family AS dp_family_a, y.primary_family AS dp_family_b FROM near LEFT JOIN taxonomy x ON x.problem_id = problem_a LEFT JOIN taxonomy y ON y.problem_id = problem_b")
+def near_dup_families(spark, d):
+    pairs = near(spark, d, staged(canonicals(spark, d, taxonomy_of(spark, d))))
+    return pairs.select("problem_a", "problem_b", *[f"similarity.{c}" for c in ("score", "same_dp_family", "dp_family_a", "dp_family_b")])
+
+
 @query("SELECT relationship, count(*) AS count FROM rel GROUP BY relationship")
 def relationship_counts(spark, d):
     return signals.counts_of(related(spark, d), "relationship")
@@ -272,6 +289,12 @@ def verified_summary(spark, d):
     return assemble.verified_summary(S.results(spark, d), verified_of(spark, d))
 
 
+@query("SELECT id, n_tests FROM runnable WHERE input_mode = 'stdio' AND n_tests > 0 AND executable AND id IN (SELECT problem_id FROM submissions WHERE accepted)")
+def eligible_problems(spark, d):
+    sols = collect.solutions(S.submissions(spark, d, True), failure=False)
+    return judge.eligible_problems(S.runnable(spark, d), sols).select("id", F.size("official_tests").alias("n_tests"))
+
+
 @query("SELECT status, count(*) AS count FROM results GROUP BY status")
 def result_counts(spark, d):
     return judge.result_counts(S.results(spark, d))
@@ -324,13 +347,44 @@ def code_consensus(spark, d):
 
 @query("SELECT p.problem_id, p.primary_family, p.verified_solution_count, coalesce(s.with_code, 0) AS solutions_with_code, coalesce(h.implementation_patterns, '') AS implementation_patterns FROM pool p LEFT JOIN code_sums s ON s.problem_id = p.problem_id LEFT JOIN half h ON h.problem_id = p.problem_id")
 def concepts(spark, d):
-    c = assemble.concepts(pool_of(spark, d), verified_of(spark, d))
+    c = assemble.concepts(*pool_and_verified(spark, d))
     return c.select("problem_id", F.col("family.primary").alias("primary_family"), "verification.verified_solution_count", "code_analysis.solutions_with_code", joined("code_analysis.implementation_patterns").alias("implementation_patterns"))
 
 
 @query("SELECT count(*) AS total_dp_problems, count(*) FILTER (has_verified_solution) AS problems_with_verified_solutions, count(*) FILTER (problem_id IN (SELECT problem_id FROM code_sums)) AS problems_with_code_analysis FROM pool")
 def concepts_summary(spark, d):
-    return assemble.concepts_summary(assemble.concepts(pool_of(spark, d), verified_of(spark, d)))
+    return assemble.concepts_summary(assemble.concepts(*pool_and_verified(spark, d)))
+
+
+@query("SELECT what, value, count(*) AS count FROM (SELECT 'primary_family' AS what, primary_family AS value FROM pool WHERE primary_family IS NOT NULL UNION ALL SELECT 'implementation_pattern', unnest(string_split(implementation_patterns, ',')) FROM half WHERE problem_id IN (SELECT problem_id FROM pool)) GROUP BY what, value")
+def concept_counts(spark, d):
+    return assemble.concept_counts(assemble.concepts(*pool_and_verified(spark, d)))
+
+
+_ASKED = """SELECT i.problem_id, nth, solutions, sha256(text) AS prompt_hash, sha256(source_code) AS code_hash, coalesce(primary_family, '') AS primary_family
+    FROM (SELECT problem_id, primary_family FROM pool WHERE has_verified_solution ORDER BY problem_id LIMIT 60 OFFSET 5) i JOIN prompts p ON p.id = i.problem_id JOIN nths v ON v.problem_id = i.problem_id WHERE nth <= 2"""
+
+
+@query(_ASKED)
+def semantic_slice(spark, d):
+    """The slice from the sixth problem on, 60 long, with the first two solutions of each: what a model is asked about."""
+    pool, verified = pool_and_verified(spark, d)
+    asked = semantic.asked(pool, verified, S.problems(spark, d), start=5, limit=60)
+    return asked.select("problem_id", "nth", F.col("verified_solution_count").alias("solutions"), F.sha2("problem_text", 256).alias("prompt_hash"), F.sha2("source_code", 256).alias("code_hash"), F.coalesce("family_evidence.primary", F.lit("")).alias("primary_family"))
+
+
+@query(f"SELECT status, level, count(*) AS count FROM (SELECT problem_id, CASE WHEN count(*) = 2 THEN CASE WHEN count(DISTINCT length(source_code) % 2) = 1 THEN 'high_confidence' ELSE 'disagreement' END ELSE 'single_extraction' END AS status, CASE WHEN count(*) = 2 THEN CASE WHEN count(DISTINCT length(source_code) % 2) = 1 THEN 'high' ELSE 'low' END ELSE '' END AS level FROM ({_ASKED.replace('sha256(source_code) AS code_hash', 'source_code')}) GROUP BY problem_id) GROUP BY status, level")
+def semantic_agreement(spark, d):
+    """Answers of a stub: code of even length uses the method, other code doesn't."""
+    pool, verified = pool_and_verified(spark, d)
+    asked = staged(semantic.asked(pool, verified, S.problems(spark, d), start=5, limit=60))
+    rows = semantic.agreed(semantic.extract(asked, _stub, with_code=True), asked)
+    return rows.groupBy("status", F.coalesce("agreement.level", F.lit("")).alias("level")).count()
+
+
+def _stub(prompt: str) -> str:
+    code = prompt.split("An accepted solution:\n", 1)[1].split("\n\nIf no subproblems", 1)[0]
+    return '{"dp_used": true, "family": "tree"}' if len(code) % 2 == 0 else '{"dp_used": false}'
 
 
 @query(f"""SELECT s.split, u.problem_id, u.source_id, u.lang AS language, p.rating, coalesce(p.primary_family, p.families[1]) AS family, sha256({q(assemble.PROMPT)} || statement) AS question, sha256(source_code) AS answer
@@ -432,6 +486,70 @@ def collect_problems(spark, d):
     return collect.problems(raw).select("id", "contest_start_year", "rating", "editorial", "time_limit", joined("tags").alias("tags"), "source", "source_split", "extra")
 
 
+_TESTS = [("1/A", [("2", "4"), (None, "5"), None]), ("2/B", []), ("3/C", None), ("4/D", [("", None)])]
+
+
+@query("SELECT * FROM (VALUES ('1/A', 0, '2', '4', '{\"examples\":[{\"input\":\"2\",\"output\":\"4\"},{\"input\":\"\",\"output\":\"5\"}],\"generated_tests\":null}'), ('1/A', 1, '', '5', '{\"examples\":[{\"input\":\"2\",\"output\":\"4\"},{\"input\":\"\",\"output\":\"5\"}],\"generated_tests\":null}'), ('4/D', 0, '', '', '{\"examples\":[{\"input\":\"\",\"output\":\"\"}],\"generated_tests\":null}')) t(id, nth, input, output, extra)")
+def collect_tests(spark, d):
+    """Tests and examples: null items are dropped, null texts are empty."""
+    kind = "array<struct<input: string, output: string>>"
+    raw = rows(spark, [(i, t, t) for i, t in _TESTS], f"id string, official_tests {kind}, examples {kind}")
+    return collect.problems(raw).select("id", F.posexplode("official_tests").alias("nth", "t"), "extra").select("id", "nth", "t.input", "t.output", "extra")
+
+
+# --- files: rows written as JSON lines and read again -------------------------------------------------------------------
+
+
+def _lines(spark: SparkSession, df: DataFrame) -> str:
+    path = f"{tables.shared_folder(spark)}/rows.jsonl"
+    tables.write_jsonl(df, path)
+    return path
+
+
+_RAW_FIELDS = "id, title, description, note, rating, tags, editorial, executable, official_tests_complete, contest_id"
+
+
+@query(f"SELECT {_RAW_FIELDS.replace('tags', 'array_to_string(tags, chr(44)) AS tags').replace(' note', ' note')}, idx AS index_name FROM problems")
+def jsonl_problems(spark, d):
+    """Raw problems as JSON lines, whole texts, read with their schema and collected."""
+    raw = S.problems(spark, d).select(*_RAW_FIELDS.split(", "), "index")
+    got = collect.problems(tables.read_jsonl(spark, _lines(spark, raw), schemas.RAW_PROBLEM))
+    return got.select("id", "title", "description", "note", "rating", joined("tags").alias("tags"), "editorial", "executable", "official_tests_complete", "contest_id", F.col("index").alias("index_name"))
+
+
+@query("SELECT problem_id, submission_id AS source_id, lang AS language, sha256(code) AS code, 'OK' AS verdict, accepted AS is_accepted FROM submissions")
+def jsonl_submissions(spark, d):
+    """Accepted and other submissions, read from two files."""
+    out = None
+    for accepted in (True, False):
+        part = collect.solutions(tables.read_jsonl(spark, _lines(spark, S.submissions(spark, d, accepted)), schemas.SUBMISSION), failure=not accepted)
+        out = part if out is None else out.unionByName(part)
+    return out.select("problem_id", "source_id", "language", F.sha2("source_code", 256).alias("code"), "verdict", "is_accepted")
+
+
+@query("SELECT count(*) AS n, count(DISTINCT event_id) AS ids, CAST(sum(event_id) AS BIGINT) AS total FROM events")
+def jsonl_append(spark, d):
+    """All events appended in two parts that overlap: each key is there once."""
+    events, path, schema = S.table(spark, d, "events").select("event_id", "event_type"), f"{tables.shared_folder(spark)}/appended.jsonl", "event_id long, event_type string"
+    for part in (events.where("event_id % 3 <> 0"), events.where("event_id % 3 <> 1")):
+        tables.append_new(part, path, "event_id", schema)
+    return tables.read_jsonl(spark, path, schema).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"), F.sum("event_id").alias("total"))
+
+
+@query(f"SELECT s.split, u.problem_id, u.source_id, sha256({q(assemble.PROMPT)} || statement) AS question, sha256(source_code) AS answer FROM usable u JOIN splits s ON s.problem_id = u.problem_id")
+def jsonl_examples(spark, d):
+    """Examples written as JSON lines, in their shuffled order, and loaded for training."""
+    made = assemble.shuffled(examples_of(spark, d)).orderBy("split", "place").drop("place")
+    got = tables.read_table(spark, _lines(spark, made), f"split string, {schemas.EXAMPLE}")
+    content = lambda i: F.sha2(F.get("messages", F.lit(i))["content"], 256)
+    return got.select("split", "metadata.problem_id", "metadata.source_id", content(0).alias("question"), content(1).alias("answer"))
+
+
+@query("SELECT doc_id, right(text, 40) AS tail FROM documents")
+def text_tails(spark, d):
+    return S.table(spark, d, "documents").select("doc_id", X.tail(F.col("text"), 40).alias("tail"))
+
+
 _ANSWERS = list(enumerate(S.ANSWERS))
 _PAIRS = [(i, j) for i in range(len(S.ANSWERS)) for j in range(len(S.ANSWERS)) if i < j]
 _CONCEPT = """SELECT i, CASE WHEN j IS NULL THEN NULL ELSE coalesce(CAST(j->'$.dp_used' AS BOOLEAN), false) END AS dp,

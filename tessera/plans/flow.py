@@ -15,7 +15,19 @@ from pyspark.sql import functions as F
 
 from ..operators import assemble, canonical, collect, judge, select, semantic, signals, taxonomy
 from ..sources import schemas
-from ..sources.tables import read_jsonl, read_table, write_jsonl, write_table
+from ..sources.tables import append, exists, read_jsonl, read_table, staged, write_jsonl, write_table
+
+#: The order of a dataset's rows where it is written. Operators don't sort: the next one would lose it again.
+ORDERS = {
+    "exact_groups": lambda: [F.desc("count"), "problem_ids"], "near": lambda: [F.desc("similarity.score"), "problem_a", "problem_b"],
+    "relationships": lambda: ["relationship", F.desc("similarity_score"), "problem_a", "problem_b"], "groups": lambda: ["problem_id"],
+    "verified": lambda: ["problem_id", "verification.quality", "source_id"], "failures": lambda: ["problem_id", "failure_type", "source_id"], "pool": lambda: ["problem_id"],
+    "gold": lambda: ["role", F.coalesce("primary_family", F.lit("unresolved")), F.coalesce(-F.col("rating"), F.lit(0)), "problem_id"],
+}
+
+
+def in_order(name: str, df: DataFrame) -> DataFrame:
+    return df.orderBy(*ORDERS[name]()) if name in ORDERS else df
 
 
 @dataclass
@@ -34,7 +46,7 @@ class Flow:
         return read_table(self.spark, self.path(name), getattr(schemas, SCHEMAS[name], None) if self.kind == "json" else None)
 
     def put(self, name: str, df: DataFrame) -> None:
-        write_table(df, self.path(name))
+        write_table(in_order(name, df), self.path(name))
 
     # each stage: reads tables, puts tables
 
@@ -80,7 +92,7 @@ class Flow:
         if self.settings.get("judge"):
             chosen = select.solutions_to_verify(self.table("solutions").where("is_accepted"), pypy=self.settings.get("pypy", False))
             some = judge.eligible_problems(self.table("problems"), chosen)
-            some = select.shuffled_first(some, "id", self.settings.get("max_problems", 1000))
+            some = select.shuffled_first(some, "id", self.settings.get("max_problems", 1000), self.settings.get("seed", 42), self.settings.get("shuffle", "hash"))
             self.put("results", judge.verify(chosen.drop("compiler"), some))
         elif self.settings.get("results"):
             self.put("results", read_jsonl(self.spark, self.settings["results"], schemas.RESULT))
@@ -101,32 +113,54 @@ class Flow:
         self.put("concepts", assemble.concepts(self.table("pool"), self.table("verified")))
 
     def semantic(self) -> None:
-        """Asks a model: only with the setting ``ask``, a function from prompt to answer."""
-        if ask := self.settings.get("ask"):
-            rows = semantic.asked(self.table("pool"), self.table("verified"), self.table("problems"), self.settings.get("start", 0), self.settings.get("limit"))
-            self.put("semantic", semantic.agreed(semantic.extract(rows, ask), rows))
+        """Asks a model: only with the setting ``ask``, a function from prompt to answer.
+
+        Rows are appended, ``chunk`` problems at a time, and problems that have a row already aren't asked about again: a run that breaks off is taken up where it was.
+        """
+        if not (ask := self.settings.get("ask")):
+            return
+        path = self.path("semantic")
+        rows = semantic.asked(self.table("pool"), self.table("verified"), self.table("problems"), self.settings.get("start", 0), self.settings.get("limit"))
+        if exists(self.spark, path):
+            rows = rows.join(self.table("semantic").select("problem_id"), "problem_id", "left_anti")
+        rows = staged(rows)
+        chunks = -(-rows.select("problem_id").distinct().count() // self.settings.get("chunk", 1000))
+        for k in range(chunks):
+            some = rows.where(F.pmod(F.xxhash64("problem_id"), F.lit(chunks)) == k)
+            append(semantic.agreed(semantic.extract(some, ask), some), path)
 
     def examples(self) -> None:
         pool = self.table("pool")
         ok = assemble.usable(self.table("results"), pool, self.table("problems"))
         if self.settings.get("strict", True) and ok.isEmpty():
             raise RuntimeError("no verified problem with a statement")
-        made = assemble.examples(ok, pool, assemble.split_ids(ok, "problem_id", self.settings.get("seed", 42)))
+        made = assemble.examples(ok, pool, assemble.split_ids(ok, "problem_id", self.settings.get("seed", 42), self.settings.get("shuffle", "hash")))
         self.put("examples", made)
+        placed = assemble.shuffled(self.table("examples"), self.settings.get("seed", 42), self.settings.get("shuffle", "hash"))
         for split in ("train", "val", "test"):
-            write_jsonl(self.table("examples").where(F.col("split") == split).drop("split"), f"{self.folder}/{split}.jsonl")
+            write_jsonl(placed.where(F.col("split") == split).orderBy("place").drop("split", "place"), f"{self.folder}/{split}.jsonl")
 
     def summaries(self) -> dict:
         """Totals of what is there, each from one row or a small group-by."""
+        asked = exists(self.spark, self.path("semantic"))
         of = lambda df: [r.asDict() for r in df.collect()]
         pool, verified = self.table("pool"), self.table("verified")
         return {
             "audit": of(collect.audit_totals(self.table("problems"))), "exact": of(canonical.exact_summary(self.table("canonical"))), "evidence": of(signals.counts_of(self.table("evidence"), "evidence_level")),
             "families": of(taxonomy.family_counts(self.table("taxonomy"))), "relationships": of(signals.counts_of(self.table("relationships"), "relationship")), "results": of(judge.result_counts(self.table("results"))),
             "verified": of(assemble.verified_summary(self.table("results"), verified)), "pool": of(assemble.pool_summary(pool)), "pool_counts": of(assemble.pool_counts(pool)),
-            "gold": of(assemble.gold_counts(self.table("gold"))), "concepts": of(assemble.concepts_summary(self.table("concepts"))), "examples": of(assemble.split_sizes(self.table("examples"))),
+            "gold": of(assemble.gold_counts(self.table("gold"))), "concepts": of(assemble.concepts_summary(self.table("concepts"))), "concept_counts": of(assemble.concept_counts(self.table("concepts"))),
+            "semantic": of(semantic.summary(self.table("semantic"))) if asked else [], "examples": of(assemble.split_sizes(self.table("examples"))),
         }
 
+    def report(self) -> dict:
+        """The summaries, written as a JSON document each, one line of one file in a folder of its own."""
+        found = self.summaries()
+        for name, rows in found.items():
+            line = self.spark.createDataFrame([(json.dumps({"summary": name, "rows": rows}, default=str, ensure_ascii=False),)], "value string")
+            line.coalesce(1).write.mode("overwrite").text(f"{self.folder}/summaries/{name}.json")
+        return found
+
     def run(self, stages: list[str] | None = None) -> None:
         for name in stages or STAGES:
             stage: Callable[[], None] = getattr(self, name)
@@ -159,7 +193,9 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--timeout", type=int, default=180)
     p.add_argument("--start", type=int, default=0)
     p.add_argument("--limit", type=int)
+    p.add_argument("--chunk", type=int, default=1000, help="problems that a model is asked about before their rows are written")
     p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--shuffle", choices=["hash", "exact"], default="hash", help="exact: CPython's shuffles, on the driver")
     a = p.parse_args(args)
     settings = {k: v for k, v in vars(a).items() if v is not None}
     if a.host:
@@ -167,7 +203,7 @@ def main(args: list[str] | None = None) -> None:
     flow = Flow(SparkSession.builder.appName("tessera").getOrCreate(), a.folder, settings=settings)
     flow.run(a.stages)
     if not a.stages:
-        print(json.dumps(flow.summaries(), indent=2, default=str))
+        print(json.dumps(flow.report(), indent=2, default=str))
 
 
 if __name__ == "__main__":

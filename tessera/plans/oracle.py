@@ -45,6 +45,7 @@ N = "coalesce({m}['{k}'], 0)"
 CLASS = f"CASE WHEN {among('signals', P.STRONG)} >= 2 OR ({among('signals', P.STRONG)} = 1 AND score >= 1) THEN 'strong' WHEN {among('signals', P.STRUCTURAL)} > 0 THEN 'moderate' WHEN {among('signals', P.WEAK)} > 0 THEN 'weak' ELSE 'none' END"
 COMPILER = "CASE " + " ".join(f"WHEN contains(lower(lang), {q(p)}) THEN {q(n)}" for p, n in (("pypy", "pypy"), ("python", "python"), ("c++20", "cpp20"), ("c++17", "cpp17"), ("c++14", "cpp14"), ("c++11", "cpp11"), ("c++", "cpp"))) + " END"
 BASE_ID = r"regexp_replace({c}, '([A-Z])\d+$', '\1')"
+TRIMMED = r"regexp_replace(replace({c}, chr(13) || chr(10), chr(10)), '^\s+|\s+$', '', 'g')"
 STATEMENT = "'Title:' || chr(10) || title || chr(10) || chr(10) || 'Problem:' || chr(10) || description || CASE WHEN note IS NOT NULL THEN chr(10) || chr(10) || 'Note:' || chr(10) || note ELSE '' END"
 
 STEPS |= {
@@ -132,6 +133,8 @@ STEPS |= {
     "passed": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY problem_id, source_id ORDER BY event_id) AS r FROM results WHERE list_contains({listed(K.PASSED)}, status)) WHERE r = 1",
     "verified": f"SELECT p.problem_id, source_id, lang AS language, source_code, status, {case('status', K.QUALITY, q('other'))} AS quality, CASE status WHEN 'PASSED_CHECKER' THEN 'checker' WHEN 'PASSED_EXACT' THEN 'exact' ELSE 'available_tests' END AS method, t.primary_family FROM passed p LEFT JOIN taxonomy t USING (problem_id)",
     "failures": f"SELECT problem_id, source_id, lang AS language, status, {case('status', K.QUALITY, q('other'))} AS failure_type FROM results WHERE list_contains({listed(K.FAILED)}, status)",
+    "nths": "SELECT problem_id, source_code, row_number() OVER (PARTITION BY problem_id ORDER BY source_id) AS nth, count(*) OVER (PARTITION BY problem_id) AS solutions FROM verified",
+    "prompts": f"SELECT id, 'Title:' || chr(10) || {TRIMMED.format(c='title')} || chr(10) || chr(10) || 'Problem statement:' || chr(10) || {TRIMMED.format(c='description')} || CASE WHEN note IS NOT NULL THEN chr(10) || chr(10) || 'Note:' || chr(10) || note ELSE '' END AS text FROM problems",
     "tests": "SELECT problem_id, count(*) AS n, string_agg(DISTINCT status, ',' ORDER BY status) AS statuses FROM verified GROUP BY problem_id",
     "edges": "SELECT problem_a AS problem_id, problem_b AS other, relationship FROM rel UNION ALL SELECT problem_b, problem_a, relationship FROM rel",
     "edge_sums": "SELECT problem_id, count(*) AS n, string_agg(DISTINCT relationship, ',' ORDER BY relationship) AS flags, string_agg(DISTINCT CASE WHEN relationship = 'version_family' THEN other END, ',' ORDER BY CASE WHEN relationship = 'version_family' THEN other END) AS versions FROM edges GROUP BY problem_id",

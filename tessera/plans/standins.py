@@ -1,6 +1,7 @@
 """The driver's tables in the shape of problems, submissions and results, in Spark and in SQL.
 
-Documents stand for problems, conversations for submissions (with code from a short list), events for results of the judge.
+Documents stand for problems, with their whole texts; conversations for submissions, whose code is one of a few programs and then the whole text
+of the turn; events for results of the judge, spread over all documents.
 """
 
 from __future__ import annotations
@@ -71,24 +72,30 @@ def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def titled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Problems with titles that name methods, and short descriptions."""
-    p = problems(spark, sf_dir)
-    return p.withColumn("title", pick(TITLES, F.col("doc_id"))).withColumn("description", F.substring("description", 1, 60))
+    """Problems with titles that name methods."""
+    return problems(spark, sf_dir).withColumn("title", pick(TITLES, F.col("doc_id")))
+
+
+def runnable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems with an input mode and tests, some without either."""
+    i = F.col("doc_id")
+    tests = F.when(i % 5 == 4, F.array().cast("array<struct<input: string, output: string>>")).when(i % 7 != 6, F.array(F.struct(i.cast("string").alias("input"), F.lit("x").alias("output"))))
+    return problems(spark, sf_dir).withColumn("input_mode", F.when(i % 11 == 3, "file").otherwise("stdio")).withColumn("official_tests", tests)
 
 
 def submissions(spark: SparkSession, sf_dir: str, accepted: bool | None = None) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     c = c if accepted is None else c.where((F.col("role") == "assistant") == accepted)
     i, t = F.col("conv_id"), F.col("turn")
-    return c.select(problem_id(F.floor(i / 3)).alias("problem_id"), (i * 100 + t).cast("string").alias("submission_id"), pick(LANGUAGES, i + t).alias("programmingLanguage"), pick(CODE, i * 7 + t * 3).alias("source"), F.lit("OK").alias("verdict"))
+    return c.select(problem_id(F.floor(i / 3)).alias("problem_id"), (i * 100 + t).cast("string").alias("submission_id"), pick(LANGUAGES, i + t).alias("programmingLanguage"), F.concat(pick(CODE, i * 7 + t * 3), F.lit("\n"), F.coalesce("text", F.lit(""))).alias("source"), F.lit("OK").alias("verdict"))
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e, n = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents").count()
     i, u = F.col("event_id"), F.col("user_id")
     return e.select(
-        problem_id(F.pmod(u, F.lit(200))).alias("problem_id"), F.pmod(i, F.lit(37)).cast("string").alias("source_id"), pick(LANGUAGES, i + u).alias("language"), F.when(i % 5 != 0, "OK").otherwise("FAIL").alias("verdict"),
-        F.lit("events").alias("source"), pick(CODE, i).alias("source_code"), pick(STATUSES, i).alias("status"), F.lit(None).cast("double").alias("execution_time_ms"), F.lit("").alias("stdout"), F.lit("").alias("stderr"), i.alias("event_id"),
+        problem_id(F.pmod(F.floor(i / 3), F.lit(max(1, n)))).alias("problem_id"), F.floor(i / 2).cast("string").alias("source_id"), pick(LANGUAGES, i + u).alias("language"), F.when(i % 5 != 0, "OK").otherwise("FAIL").alias("verdict"),
+        F.lit("events").alias("source"), F.concat(pick(CODE, i), F.when(i % 11 != 9, F.concat(F.lit("\n// "), F.coalesce("props", F.lit("")))).otherwise("")).alias("source_code"), pick(STATUSES, i).alias("status"), F.lit(None).cast("double").alias("execution_time_ms"), F.lit("").alias("stdout"), F.lit("").alias("stderr"), i.alias("event_id"),
     )
 
 
@@ -121,10 +128,11 @@ SQL = {
         {sql_pick(EDITORIALS, 'd.doc_id')} AS editorial, d.doc_id % 2 = 0 AS executable, d.doc_id % 3 = 0 AS official_tests_complete,
         CAST(CAST(floor(d.doc_id / 4) AS BIGINT) AS VARCHAR) AS contest_id, {sql_pick(INDEXES, 'd.doc_id')} AS idx, source
         FROM documents d LEFT JOIN lab USING (doc_id)""",
-    "titled": f"SELECT * REPLACE ({sql_pick(TITLES, 'doc_id')} AS title, substring(description, 1, 60) AS description) FROM problems",
+    "titled": f"SELECT * REPLACE ({sql_pick(TITLES, 'doc_id')} AS title) FROM problems",
+    "runnable": "SELECT *, CASE WHEN doc_id % 11 = 3 THEN 'file' ELSE 'stdio' END AS input_mode, CASE WHEN doc_id % 5 = 4 THEN 0 WHEN doc_id % 7 <> 6 THEN 1 END AS n_tests FROM problems",
     "submissions": f"""SELECT {sql_id('CAST(floor(conv_id / 3) AS BIGINT)')} AS problem_id, CAST(conv_id * 100 + turn AS VARCHAR) AS submission_id, {sql_pick(LANGUAGES, 'conv_id + turn')} AS lang,
-        {sql_pick(CODE, 'conv_id * 7 + turn * 3')} AS code, role = 'assistant' AS accepted FROM conversations""",
-    "results": f"""SELECT {sql_id('user_id % 200')} AS problem_id, CAST(event_id % 37 AS VARCHAR) AS source_id, {sql_pick(LANGUAGES, 'event_id + user_id')} AS lang,
-        CASE WHEN event_id % 5 <> 0 THEN 'OK' ELSE 'FAIL' END AS verdict, {sql_pick(CODE, 'event_id')} AS source_code, {sql_pick(STATUSES, 'event_id')} AS status, event_id FROM events""",
+        {sql_pick(CODE, 'conv_id * 7 + turn * 3')} || chr(10) || coalesce(text, '') AS code, role = 'assistant' AS accepted FROM conversations""",
+    "results": f"""SELECT {sql_id('CAST(floor(event_id / 3) AS BIGINT) % (SELECT count(*) FROM documents)')} AS problem_id, CAST(CAST(floor(event_id / 2) AS BIGINT) AS VARCHAR) AS source_id, {sql_pick(LANGUAGES, 'event_id + user_id')} AS lang,
+        CASE WHEN event_id % 5 <> 0 THEN 'OK' ELSE 'FAIL' END AS verdict, {sql_pick(CODE, 'event_id')} || CASE WHEN event_id % 11 <> 9 THEN chr(10) || '// ' || coalesce(props, '') ELSE '' END AS source_code, {sql_pick(STATUSES, 'event_id')} AS status, event_id FROM events""",
 }
-__all__ = ["SQL", "X", "listed", "pick", "problem_id", "problems", "quoted", "results", "sql_labels", "sql_pick", "submissions", "table", "titled"]
+__all__ = ["SQL", "X", "listed", "pick", "problem_id", "problems", "quoted", "results", "runnable", "sql_labels", "sql_pick", "submissions", "table", "titled"]

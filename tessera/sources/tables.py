@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -39,13 +40,21 @@ def write_table(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").parquet(path) if path.rstrip("/").endswith(".parquet") else write_jsonl(df, path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def append_new(df: DataFrame, path: str, key: str, schema: str, skip_done: bool = True) -> None:
     """Appends rows; with skip_done only those whose key isn't there, so that a job can be taken up again without doubles."""
-    if skip_done:
-        hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        if hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(hadoop):
-            df = df.join(read_jsonl(df.sparkSession, path, schema).select(key), key, "left_anti")
-    df.write.mode("append").option("ignoreNullFields", "false").json(path)
+    if skip_done and exists(df.sparkSession, path):
+        df = df.join(read_table(df.sparkSession, path, schema).select(key), key, "left_anti")
+    append(df, path)
+
+
+def append(df: DataFrame, path: str) -> None:
+    rows = df.write.mode("append")
+    rows.parquet(path) if path.rstrip("/").endswith(".parquet") else rows.option("ignoreNullFields", "false").json(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -65,13 +74,34 @@ def require(df: DataFrame, missing: DataFrame, say: Callable[[str], str], key: s
     return df.join(F.broadcast(text), F.col("lost").isNull()).drop("lost")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir, which driver and executors share.
+
+    Raises where that is unset on a cluster, as executors would each write to a disk of their own. A session on this machine alone may
+    go without: it gets a folder of the machine. What is written stays until the run that owns spark.checkpoint.dir removes it, since results are read lazily.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """df as a table in spark.checkpoint.dir (a folder of this machine where that is unset, as in tests): made once, read by all.
+    """df as a table in the shared folder: made once, read by all.
 
     For rows that a plan uses several times; what is lost with an executor is read again, not made again.
     """
-    spark = df.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    path = f"{(base or 'file://' + tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, key: str, name: str, width: int = 3) -> DataFrame:
+    """df with the rank of its distinct texts ``key``, from 1: within bins of their first characters, with the sizes of the bins before, so no task orders them all."""
+    df = df.withColumn("bin_", F.substring(key, 1, width))
+    before = Window.orderBy("bin_").rowsBetween(Window.unboundedPreceding, -1)
+    bins = df.groupBy("bin_").count().select("bin_", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before_"))
+    rank = F.row_number().over(Window.partitionBy("bin_").orderBy(key))
+    return df.withColumn("rank_", rank).join(F.broadcast(bins), "bin_").withColumn(name, F.col("rank_") + F.col("before_")).drop("bin_", "rank_", "before_")

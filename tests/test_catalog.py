@@ -40,6 +40,10 @@ def test_queries_without_sql(spark):
     assert {r.source_id: r.status for r in catalog.QUERIES["judged"](spark, SF).collect()} == {"1": "PASSED_EXACT", "2": "WRONG_ANSWER", "3": "RE", "4": "UNSUPPORTED_LANGUAGE"}
 
 
+def test_every_query_names_one_function():
+    assert len(catalog.QUERIES) == len({*map(id, catalog.QUERIES.values())}) and set(catalog.ORACLES) <= set(catalog.QUERIES)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
