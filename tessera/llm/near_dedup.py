@@ -157,7 +157,7 @@ def _set_rows(k: int):
             for i, j in blocks(at, 1 << 19):
                 sets, first = shingles(flat[at[i] : at[j]], at[i : j + 1] - at[i], k)
                 own = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([own.column("rid"), own.column("th"), own.column("label"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64)))], ["rid", "th", "label", "shingles"])
+                yield pa.RecordBatch.from_arrays([own.column("rid"), own.column("th"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64)))], ["rid", "th", "shingles"])
 
     return run
 
@@ -175,15 +175,86 @@ def _prefixes(percent: int, sent):
             nth = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
             some = nth < (n - (percent * n + 99) // 100 + 1)[own]
             row = pa.array(own[some])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("rid", "th", "label")), pa.array(n[own[some]]), pa.array(sets[order[some]].view(np.int64))], ["rid", "th", "label", "n", "shingle"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("rid", "th")), pa.array(sets[order[some]].view(np.int64))], ["rid", "th", "shingle"])
+
+    return run
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """Of a set: for each of 1,024 bits, or as many as it has members if that is more (up to 65,536), whether an odd number of them falls there.
+
+    The bits in which two sets differ are no more than the members in which they do, so this tells unlike sets and never alike ones.
+    Halves xored together are the bits for half as many.
+    """
+    size = 1 << min(16, max(10, int(len(own) - 1).bit_length()))
+    return np.packbits((np.bincount((mix(own + U(0x2545F4914F6CDD1D)) & U(size - 1)).astype(np.int64), minlength=size) & 1).astype(bool)).view(U)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = batch.column("shingles")
+        marks = [parities(x.values.to_numpy().view(U)).tobytes() for x in lists]
+        yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("th"), lists.value_lengths().cast(pa.int64()), pa.array(marks, pa.binary())], ["rid", "th", "n", "marks"])
+
+
+def possible(n: np.ndarray, label: np.ndarray, marks: list[np.ndarray], percent: int, best: bool) -> list[tuple[int, int]]:
+    """Pairs of sets with different labels that can be alike by their sizes and parities; best: of a set and one label only the likeliest."""
+    width = np.array([len(m) for m in marks])
+    tables = {}
+    for w in np.unique(width).tolist():  # sets with w words of bits, and those with twice as many folded to w
+        some = np.flatnonzero((width == w) | (width == 2 * w))
+        tables[w] = some, np.stack([marks[i] if width[i] == w else marks[i][:w] ^ marks[i][w:] for i in some.tolist()])
+    out = []
+    for i in range(len(n)):
+        for w in {int(width[i]), int(width[i]) // 2} & tables.keys():
+            some, bits = tables[w]
+            at = np.flatnonzero((some > i) & (label[some] != label[i]) & ((width[some] == w) | (width[i] == w)))
+            at = at[100 * np.minimum(n[some[at]], n[i]) >= percent * np.maximum(n[some[at]], n[i])]
+            if not len(at):
+                continue
+            own = marks[i] if width[i] == w else marks[i][:w] ^ marks[i][w:]
+            apart = np.bitwise_count(bits[at] ^ own).sum(1, dtype=np.int64)
+            # |A xor B| of alike sets is at most (|A| + |B|) * (100 - percent) / (100 + percent)
+            ok = apart * (100 + percent) <= (n[some[at]] + n[i]) * (100 - percent)
+            at, apart = some[at[ok]], apart[ok]
+            if best:
+                order = np.lexsort((apart, label[at]))
+                at = at[order[np.concatenate([[True], np.diff(label[at[order]]) != 0])[: len(order)]]]
+            out += [(i, j) for j in at.tolist()]
+    return out
+
+
+def _meetings(percent: int, best: bool):
+    """Rows sorted by (shingle, i, j), each such group whole: pairs that can be alike, the center being the lesser."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def found() -> pa.RecordBatch:
+            nodes = [(x[0], x[1]) for x in held]
+            label = np.unique([x[2] for x in held], return_inverse=True)[1]
+            pairs = possible(np.array([x[3] for x in held]), label, [np.frombuffer(x[4], U) for x in held], percent, best)
+            rows = [max(nodes[i], nodes[j]) + min(nodes[i], nodes[j]) for i, j in pairs]
+            columns = list(zip(*rows)) or [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rid", "th", "c_rid", "c_th"])
+
+        for batch in batches:
+            for *own, rid, th, label, n, marks in zip(*(batch.column(c).to_pylist() for c in ("shingle", "i", "j", "rid", "th", "label", "n", "marks"))):
+                if own != key:
+                    if len(held) > 1:
+                        yield found()
+                    key, held = own, []
+                held.append((rid, th, label, n, marks))
+        if len(held) > 1:
+            yield found()
 
     return run
 
 
 #: Keys of rows wanted from a table are broadcast up to so many (some 40 bytes each), counted first; beyond, they are joined by a shuffle.
 MOST_BROADCAST = 500_000
-#: Members of a star that one task compares with its center.
-STAR_ROWS = 2_000
+#: Members of a star that one task compares with its center; documents of a part of those that meet at one shingle.
+STAR_ROWS, GROUP_ROWS = 2_000, 2_000
 
 
 def _little(table: DataFrame) -> DataFrame:
@@ -202,25 +273,42 @@ def _verified(docs: DataFrame, stars: DataFrame, percent: int, k: int, n: int, p
 
 
 def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder: str) -> DataFrame:
-    """Links between documents of rest (rid, th, label) whose labels differ: every one, since alike sets share a shingle among their rarest ones."""
+    """(node, label): the labels of rest (rid, th, label) after all links between them, for nodes whose label changes.
+
+    Alike sets share a shingle among their rarest ones, so documents meet at these; boilerplate that many share is rare in none. Of those that meet
+    at one, the documents of its most frequent label needn't be compared with each other: they are dealt in parts, and the others go to each.
+    First only the likeliest pair of a document and a label is verified, which joins what can be joined; then every pair of labels that is left.
+    """
     spark = docs.sparkSession
-    sets = texts(docs).join(_little(rest), ["rid", "th"]).dropDuplicates(["rid", "th"]).mapInArrow(_set_rows(k), f"rid long, th long, label {_STRUCT}, shingles array<long>")
+    sets = texts(docs).join(_little(rest.select("rid", "th")), ["rid", "th"]).dropDuplicates(["rid", "th"]).mapInArrow(_set_rows(k), "rid long, th long, shingles array<long>")
     sets = written(sets, f"{folder}/sets")
     tally = sets.select("shingles").mapInArrow(_tally, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(COUNTERS, np.int64)
     counts[tally.column("slot").to_numpy()] = tally.column("n").to_numpy()
-    rare = sets.mapInArrow(_prefixes(percent, spark.sparkContext.broadcast(counts)), f"rid long, th long, label {_STRUCT}, n long, shingle long")
+    rare = sets.mapInArrow(_prefixes(percent, spark.sparkContext.broadcast(counts)), "rid long, th long, shingle long")
     rare = written(rare, f"{folder}/rare")
-    shared = rare.groupBy("shingle").agg(F.count("*").alias("times"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
-    rare = rare.join(written(shared, f"{folder}/shared"), "shingle")
-    rare = written(rare, f"{folder}/meeting")
-    a = rare.select("shingle", F.col("rid").alias("c_rid"), F.col("th").alias("c_th"), F.col("label").alias("c_label"), F.col("n").alias("c_n"))
-    near = 100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")
-    pairs = rare.join(a, "shingle").where((F.col("label") > F.col("c_label")) & near).select("rid", "th", "c_rid", "c_th").distinct()
-    return _verified(docs, written(pairs, f"{folder}/pairs"), percent, k, n, folder)
-
-
-_STRUCT = "struct<rid: long, th: long>"
+    twice = rare.groupBy("shingle").count().where("count > 1").select("shingle")
+    rare = written(rare.join(written(twice, f"{folder}/twice"), "shingle"), f"{folder}/meeting")
+    marks = written(sets.mapInArrow(_marks, "rid long, th long, n long, marks binary"), f"{folder}/marks")
+    now, node = rest.select(F.struct("rid", "th").alias("node"), "label"), F.struct("rid", "th")
+    for step, best in ((1, True), (2, False)):
+        labels = now.select("node.*", F.struct("label.rid", "label.th").alias("label"))
+        named = written(rare.join(_little(labels), ["rid", "th"]), f"{folder}/{step}/named")
+        per = named.groupBy("shingle", "label").count().groupBy("shingle").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.count("*").alias("labels"))
+        per = written(per.where("labels > 1").select("shingle", F.col("top.label").alias("most"), F.ceil(F.col("top.count") / GROUP_ROWS).cast("int").alias("p"), F.ceil((F.col("all") - F.col("top.count")) / GROUP_ROWS).cast("int").alias("q")), f"{folder}/{step}/groups")
+        dealt = named.join(per, "shingle").withColumn("major", F.col("label") == F.col("most"))
+        h = F.xxhash64("rid", "th")
+        dealt = dealt.withColumn("part", F.when(F.col("major"), F.pmod(h, "p")).otherwise(F.col("p") + F.pmod(h, "q")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("p") + F.col("q") - 1))).where("IF(major, other >= p, other < p OR other <> part)")
+        dealt = dealt.select("shingle", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid", "th", F.xxhash64("label").alias("label")).join(marks, ["rid", "th"])
+        pairs = dealt.repartition(n, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(_meetings(percent, best), "rid long, th long, c_rid long, c_th long").distinct()
+        found = _verified(docs, written(pairs, f"{folder}/{step}/pairs"), percent, k, n, f"{folder}/{step}")
+        found = found.join(now.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(now.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
+        last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/{step}/components")
+        moved = now.join(_little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        now = written(moved, f"{folder}/{step}/labels")
+    was = rest.select(node.alias("node"), F.col("label").alias("old"))
+    return now.join(was, "node").where("label <> old").select(F.col("old").alias("node"), "label").distinct()
 
 
 def _grouped(docs: DataFrame, percent: int, k: int) -> DataFrame:
@@ -250,12 +338,9 @@ def _grouped(docs: DataFrame, percent: int, k: int) -> DataFrame:
     open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
     rest = written(named.join(written(open_, f"{folder}/open"), "bucket").select("node.*", "label").distinct(), f"{folder}/rest")
     if not rest.isEmpty():
-        found = _rest(docs, rest, percent, k, n, f"{folder}/rest-of")
-        of = rest.select(F.struct("rid", "th").alias("node"), "label")
-        found = found.join(of.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(of.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
-        last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/last")
+        last = written(_rest(docs, rest, percent, k, n, f"{folder}/rest-of"), f"{folder}/last")  # from labels to labels
         moved = label.join(_little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        label = written(moved.unionByName(last.join(label, "node", "left_anti").select("node", "label")), f"{folder}/labels")
+        label = written(moved.unionByName(last.join(label.select("node"), "node", "left_anti")), f"{folder}/labels")
 
     known = firsts.join(label.withColumnRenamed("node", "first"), "first", "left").where("copies > 1 OR label IS NOT NULL").select("k1", "k2", "n", F.coalesce("label", "first").alias("known"))
     known = written(known, f"{folder}/known")
