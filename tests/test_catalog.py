@@ -8,11 +8,31 @@ import duckdb
 import pandas as pd
 import pytest
 from tessera.plans import catalog
+from tessera.sources.tables import staged
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def chains():
+    """What many queries begin with is made once for all tests: the taxonomy, the pool with its verified solutions, the canonical records and their pairs."""
+    patch, made = pytest.MonkeyPatch(), {}
+    for name in ("taxonomy_of", "pool_and_verified", "canonicals", "near"):
+
+        def once(spark, d, *more, name=name, make=getattr(catalog, name)):
+            if more:
+                return make(spark, d, *more)
+            if name not in made:
+                found = make(spark, d)
+                made[name] = tuple(map(staged, found)) if isinstance(found, tuple) else staged(found)
+            return made[name]
+
+        patch.setattr(catalog, name, once)
+    yield
+    patch.undo()
+
+
 @pytest.fixture(scope="module")
 def sql():
     con = duckdb.connect()

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 from tessera.operators import assemble, canonical, collect, judge, select, semantic, signals, taxonomy
-from tessera.plans.flow import Flow
+from tessera.plans.flow import Flow, in_order
 from tessera.sources import schemas, tables
 from tessera.streaming import stateless
 
@@ -37,7 +37,7 @@ def test_canonical_forms_meet(spark):
 
 def test_near_duplicates_and_relationships(spark, near):
     df, canon = near
-    pairs = canonical.near_duplicates(df, canon).collect()
+    pairs = in_order("near", canonical.near_duplicates(df, canon)).collect()
     assert [(p.problem_a, p.problem_b) for p in pairs] == [("1/A1", "1/A2"), ("1/A2", "2/B"), ("1/A2", "2/C")]
     s = pairs[0].similarity
     assert s.same_rating and not pairs[1].similarity.same_rating and s.title_similarity == 1 and not s.same_dp_family
@@ -53,7 +53,7 @@ def test_near_duplicates_and_relationships(spark, near):
 def test_postings_cut(spark):
     shared = "alpha beta gamma delta epsilon zeta"
     rows = [problem(f"{k:03}/A", "", f"{shared} unique{k}") for k in range(41)]
-    ready = canonical.prepared(spark.createDataFrame(rows, PROBLEM))
+    ready = canonical.postings(canonical.prepared(spark.createDataFrame(rows, PROBLEM)))
     assert canonical.candidate_pairs(ready, 40, 1).count() == 0
     assert canonical.candidate_pairs(ready, 41, 2).count() == 41 * 40 // 2
     assert canonical.candidate_pairs(ready, 41, 3).count() == 0
@@ -136,7 +136,7 @@ def test_gold_order_and_roles(spark):
     df = spark.createDataFrame(rows, "problem_id string, dp_evidence_level string, primary_family string, rating int, has_verified_solution boolean")
     for c in ("canonical_group_id", "canonical_hash", "title", "families", "dimensions", "transition_style", "optimizations", "state_signals", "dp_consensus", "verified_solution_count", "verification_statuses", "relationship_flags", "version_family_members", "source", "source_split"):
         df = df.withColumn(c, F.lit(""))
-    got = assemble.gold_seeds(df).collect()
+    got = in_order("gold", assemble.gold_seeds(df)).collect()
     assert [(r.problem_id, r.quality_tier) for r in got] == [("f", "C"), ("a", "A"), ("b", "B"), ("c", "C")]
     assert got[-1].role == "training_only_unresolved_family"
 
@@ -154,6 +154,10 @@ def test_judge_outcomes(spark):
     yes, no = "import sys; print(1)", "print(0)"
     assert run("print(9)", generated_checker=yes)["status"] == "PASSED_CHECKER" and run("print(9)", generated_checker=no)["status"] == "WRONG_ANSWER"
     assert run("print(9)", generated_checker="print('?')")["status"] == "CHECKER_ERROR"
+    endless = judge.run([__import__("sys").executable, "-c", "while True: print('x' * 1000)"], __import__("pathlib").Path("/tmp"), "", 20, None, most=1 << 20)
+    assert endless.code == 1 and len(endless.out) < 3 << 20 and "Output limit" in endless.err
+    wide = judge.run([__import__("sys").executable, "-c", "import sys; print(len(sys.stdin.read()))"], __import__("pathlib").Path("/tmp"), "é" * 300_000, 20, None)
+    assert wide.code == 0 and wide.out.strip() == "300000"
     assert judge.run(["sleep", "9"], __import__("pathlib").Path("/tmp"), "", 0.3, None).code is None
     assert judge.same_tokens("YES", "yes", True) and not judge.same_tokens("YES", "yes", False)
 
@@ -190,7 +194,9 @@ def test_flow_from_files_to_examples(spark, tmp_path):
     (tmp_path / "subs.jsonl").write_text(lines(subs))
     flow = Flow(spark, str(tmp_path / "out"), settings={"problems": str(tmp_path / "raw.jsonl"), "accepted": str(tmp_path / "subs.jsonl"), "judge": True, "raw_schema": schemas.RAW_PROBLEM + ", odd array<int>"})
     flow.run()
-    total = flow.summaries()
+    total = flow.report()
+    assert json.loads("".join(p.read_text() for p in (tmp_path / "out/summaries/pool.json").glob("part-*")))["rows"] == json.loads(json.dumps(total["pool"], default=str))
+    assert total["semantic"] == [] and {r["what"] for r in total["concept_counts"]} == {"primary_family"}
     assert total["audit"][0]["total"] == 8 and {r["split"]: r["problems"] for r in total["examples"]} == {"train": 6, "test": 2}
     assert json.loads(flow.table("problems").first().extra)["odd"] == [1]
     assert flow.table("solutions").count() == 16 and flow.table("results").where("status = 'PASSED_AVAILABLE_TESTS'").count() == 16
@@ -199,6 +205,66 @@ def test_flow_from_files_to_examples(spark, tmp_path):
     assert len(train) == 12 and train[0]["messages"][1]["content"].startswith("dp = ") and "family" in train[0]["metadata"]
 
 
+def test_examples_are_shuffled(spark):
+    made = spark.createDataFrame([(s, [("user", "q"), ("assistant", f"code {k}")], (f"p{k % 5}", None, 1, "C", str(k))) for k in range(30) for s in ["train" if k % 5 else "val"]], f"split string, {schemas.EXAMPLE}")
+    for mode in ("hash", "exact"):
+        rows = assemble.shuffled(made, 42, mode).collect()
+        got = [r.metadata.source_id for r in sorted(rows, key=lambda r: (r.split, r.place))]
+        assert len(rows) == 30 and got != sorted(got, key=int) and got[-6:] != sorted(got[-6:], key=int)
+    rng, ids = random.Random(42), list(range(5))
+    rng.shuffle(ids)
+    train = sorted((f"p{k % 5}", str(k)) for k in range(30) if k % 5)
+    rng.shuffle(train)
+    assert [r.metadata.source_id for r in sorted(rows, key=lambda r: r.place) if r.split == "train"] == [s for _, s in train]
+    keys = spark.createDataFrame([(f"p{k}", k) for k in range(20)], "id string, n int")
+    want = [f"p{k}" for k in range(20)]
+    random.Random(7).shuffle(want)
+    assert {r.id for r in select.shuffled_first(keys, "id", 6, 7, "exact", "n").collect()} == set(want[:6])
+
+
+def test_semantic_runs_are_taken_up(spark, tmp_path):
+    """A run that breaks off has its rows; the next asks about the others only."""
+    flow = Flow(spark, str(tmp_path), settings={"chunk": 1})
+    put = lambda name, df: tables.write_table(df, flow.path(name))
+    pool = [(f"{k}/A", "T", 5, "tree", ["tree"], "strong", 0.5, True) for k in range(4)]
+    put("pool", spark.createDataFrame(pool, "problem_id string, title string, rating int, primary_family string, families array<string>, dp_evidence_level string, dp_consensus double, has_verified_solution boolean"))
+    put("verified", spark.createDataFrame([(f"{k}/A", "1", "x") for k in range(4)], "problem_id string, source_id string, source_code string"))
+    put("problems", spark.createDataFrame([problem(f"{k}/A", f"Title {k}", "Text") for k in range(4)], PROBLEM))
+
+    def breaks(prompt):
+        if "Title 2" in prompt:
+            raise RuntimeError("the server is gone")
+        return '{"dp_used": true}'
+
+    flow.settings["ask"] = breaks
+    with pytest.raises(Exception, match="server is gone"):
+        flow.semantic()
+    had = {r.problem_id for r in flow.table("semantic").collect()} if tables.exists(spark, flow.path("semantic")) else set()
+    flow.settings["ask"] = lambda prompt: '{"dp_used": false}'
+    flow.semantic()
+    rows = {r.problem_id: r.extractions[0].dp_used for r in flow.table("semantic").collect()}
+    assert "2/A" not in had and rows == {f"{k}/A": f"{k}/A" in had for k in range(4)} and flow.table("semantic").count() == 4
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    class Fake:
+        master, conf, sparkContext = "yarn", property(lambda self: self), property(lambda self: self)
+        getConf = lambda self: self
+        get = lambda self, *a: None
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        tables.shared_folder(Fake())
+    Fake.master = "local[4]"
+    assert tables.shared_folder(Fake()).startswith("file:///")
+
+
+def test_numbers_are_ranks(spark):
+    r = random.Random(1)
+    keys = sorted({"".join(r.choice("ab0") for _ in range(6)) for _ in range(300)})
+    got = {x.k: x.n for x in tables.numbered(spark.createDataFrame([(k,) for k in r.sample(keys, len(keys))], "k string"), "k", "n").collect()}
+    assert got == {k: i for i, k in enumerate(keys, 1)}
+
+
 def test_tables_append_and_stream(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "k int, v string"
     for rows in ([(1, None), (2, "é")], [(2, "again"), (3, "c")]):
