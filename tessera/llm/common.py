@@ -7,13 +7,11 @@ and ordered in the same way on every run.
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_folder  # noqa: F401
+
 #: Words of the contracts: runs of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 NO_ID = -(2**63)
@@ -54,20 +52,6 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir, which driver and executors share.
-
-    Raises where that is unset on a cluster, as executors would each write to a disk of their own. A session on this machine alone may
-    go without: it gets a folder of the machine. What is written stays until the run that owns spark.checkpoint.dir removes it, since results are read lazily.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, path: str) -> DataFrame:
     """df as a table at path: it is made once, and what is lost with an executor is read again."""
     df.write.parquet(path)

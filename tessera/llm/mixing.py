@@ -55,7 +55,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 def queued(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2, seed: str = "mix") -> DataFrame:
     """The queues: (doc_id, source, size, source_size, target, bin, nth, pass, words, finish, late), one row for each pass of each document, two where it is
     preempted at time 1, of which the later is ``late``. (source, bin, nth) tells a document from all others, repeated rows included."""
-    sized = sizes(docs)
+    sized = written(sizes(docs), f"{shared_folder(docs.sparkSession)}/sized")  # the texts are read once
     bins = max(1, pieces(docs, 1.0))
     goal = targets(sized, weights, share, passes)
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("string"), F.lit(seed)))
