@@ -36,8 +36,16 @@ _BITMAP = 20
 
 
 def normal(text: str) -> str:
-    """Lower case, white space squeezed."""
-    return " ".join(text.lower().split())
+    """Lower case, white space squeezed, a piece at a time."""
+    text = text.lower()
+    out: list[str] = []
+    for a in range(0, len(text), PIECE):
+        part = text[a : a + PIECE]
+        if words := " ".join(part.split()):
+            if out and (part[0].isspace() or text[a - 1].isspace()):
+                out.append(" ")
+            out.append(words)
+    return "".join(out)
 
 
 def _folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,7 +166,14 @@ class Index:
     def search(self, texts: list[str]) -> dict[tuple[int, int], tuple[int, int]]:
         """(edits, end) of the best region by (text, item's number), of those that have one within the item's edits. texts are normal."""
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        waiting = [[p for k, t in enumerate(texts) for p in self._pieces(k, 0, t, PIECE)]]
+        waiting: list[list[tuple[int, int, str]]] = []
+        size = 2 * PIECE + 1
+        for p in (p for k, t in enumerate(texts) for p in self._pieces(k, 0, t, PIECE)):
+            if size + len(p[2]) > 2 * PIECE:
+                waiting.append([])
+                size = 0
+            waiting[-1].append(p)
+            size += len(p[2])
         while waiting:
             part = waiting.pop()
             c, folded, at = _folded([t for *_, t in part])
