@@ -52,6 +52,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Keys of rows wanted from a table are broadcast up to so many (some 40 bytes each), counted first; beyond, they are joined by a shuffle.
+MOST_BROADCAST = 500_000
+
+
+def little(table: DataFrame) -> DataFrame:
+    """A table of keys, for a join: to be broadcast if it has few rows."""
+    return F.broadcast(table) if table.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else table
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """df as a table at path: it is made once, and what is lost with an executor is read again."""
     df.write.parquet(path)

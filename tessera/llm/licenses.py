@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import ALNUM, LOWER, Rolling, blocks, utf8, word_codes, words
-from .common import id_of, pieces, shared_folder, texts, written
+from .common import id_of, little, shared_folder, texts, written
 
 K = 3
 #: Base phrases and their labels.
@@ -181,9 +181,9 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
     else:
         codes, first = _codes(*utf8(pa.array([*templates])))
         passages = [codes[a:b] for a, b in zip(first[:-1], first[1:])]
-        some = texts(docs).join(wanted, ["rid", "th"]).dropDuplicates(["rid", "th"]).repartition(pieces(docs), "rid", "th")
+        some = texts(docs).join(little(wanted.select("rid", "th")), ["rid", "th"]).dropDuplicates(["rid", "th"]).join(wanted, ["rid", "th"])
         checked = written(some.mapInArrow(_verify(passages, covered, slack), "rid long, th long, kept array<int>, share double"), f"{folder}/verified")
-        out = docs_.join(checked, ["rid", "th"], "left")
+        out = docs_.join(little(checked), ["rid", "th"], "left")
     more = F.transform(F.coalesce("kept", F.array().cast("array<int>")), lambda t: F.element_at(F.array(*map(F.lit, templates.values())), t + 1))
     labels = F.sort_array(F.array_distinct(F.concat("base", more)))
     score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0)))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, SPACED, Rolling, U, blocks, mix, utf8, word_codes, words
-from .common import NO_ID, id_of, pieces, shared_folder, texts, written
+from .common import NO_ID, id_of, little, pieces, shared_folder, texts, written
 from .components import components
 
 SHINGLE = 4
@@ -251,16 +251,10 @@ def _meetings(percent: int, best: bool):
     return run
 
 
-#: Keys of rows wanted from a table are broadcast up to so many (some 40 bytes each), counted first; beyond, they are joined by a shuffle.
-MOST_BROADCAST = 500_000
 #: Members of a star that one task compares with its center; documents of a part of those that meet at one shingle.
 STAR_ROWS, GROUP_ROWS = 2_000, 2_000
 
 
-def _little(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else table
-
-
 def _verified(docs: DataFrame, stars: DataFrame, percent: int, k: int, n: int, path: str) -> DataFrame:
     """(u, v) of the rows (rid, th, c_rid, c_th) of stars whose member and center are alike, by whole sets. Stars with many members are salted."""
     salts = stars.groupBy("c_rid", "c_th").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("salts"))
@@ -268,7 +262,7 @@ def _verified(docs: DataFrame, stars: DataFrame, percent: int, k: int, n: int, p
     spokes = stars.join(salts, ["c_rid", "c_th"]).select("rid", "th", "c_rid", "c_th", F.pmod(F.hash("rid", "th"), "salts").alias("salt"), F.lit(True).alias("member"))
     hubs = salts.select(F.col("c_rid").alias("rid"), F.col("c_th").alias("th"), "c_rid", "c_th", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"))
     wanted = written(spokes.unionByName(hubs), f"{path}/wanted")
-    routed = texts(docs).join(_little(wanted), ["rid", "th"]).repartition(n, "c_rid", "c_th", "salt").sortWithinPartitions("c_rid", "c_th", "salt", "member")
+    routed = texts(docs).join(little(wanted), ["rid", "th"]).repartition(n, "c_rid", "c_th", "salt").sortWithinPartitions("c_rid", "c_th", "salt", "member")
     return written(routed.mapInArrow(_verify_stars(percent, k), LINK).distinct(), f"{path}/links")
 
 
@@ -280,7 +274,7 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
     First only the likeliest pair of a document and a label is verified, which joins what can be joined; then every pair of labels that is left.
     """
     spark = docs.sparkSession
-    sets = texts(docs).join(_little(rest.select("rid", "th")), ["rid", "th"]).dropDuplicates(["rid", "th"]).mapInArrow(_set_rows(k), "rid long, th long, shingles array<long>")
+    sets = texts(docs).join(little(rest.select("rid", "th")), ["rid", "th"]).dropDuplicates(["rid", "th"]).mapInArrow(_set_rows(k), "rid long, th long, shingles array<long>")
     sets = written(sets, f"{folder}/sets")
     tally = sets.select("shingles").mapInArrow(_tally, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(COUNTERS, np.int64)
@@ -293,7 +287,7 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
     now, node = rest.select(F.struct("rid", "th").alias("node"), "label"), F.struct("rid", "th")
     for step, best in ((1, True), (2, False)):
         labels = now.select("node.*", F.struct("label.rid", "label.th").alias("label"))
-        named = written(rare.join(_little(labels), ["rid", "th"]), f"{folder}/{step}/named")
+        named = written(rare.join(little(labels), ["rid", "th"]), f"{folder}/{step}/named")
         per = named.groupBy("shingle", "label").count().groupBy("shingle").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.count("*").alias("labels"))
         per = written(per.where("labels > 1").select("shingle", F.col("top.label").alias("most"), F.ceil(F.col("top.count") / GROUP_ROWS).cast("int").alias("p"), F.ceil((F.col("all") - F.col("top.count")) / GROUP_ROWS).cast("int").alias("q")), f"{folder}/{step}/groups")
         dealt = named.join(per, "shingle").withColumn("major", F.col("label") == F.col("most"))
@@ -305,7 +299,7 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
         found = _verified(docs, written(pairs, f"{folder}/{step}/pairs"), percent, k, n, f"{folder}/{step}")
         found = found.join(now.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(now.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
         last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/{step}/components")
-        moved = now.join(_little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        moved = now.join(little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
         now = written(moved, f"{folder}/{step}/labels")
     was = rest.select(node.alias("node"), F.col("label").alias("old"))
     return now.join(was, "node").where("label <> old").select(F.col("old").alias("node"), "label").distinct()
@@ -324,27 +318,27 @@ def _grouped(docs: DataFrame, percent: int, k: int) -> DataFrame:
     rows = written(texts(docs).mapInArrow(_sketch(k), "rid long, th long, n long, k1 long, k2 long, bands array<long>"), f"{folder}/rows")
     node = F.struct("rid", "th")
     firsts = written(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(node).alias("first"), F.count("*").alias("copies")), f"{folder}/firsts")
-    reps = rows.where("n > 0").join(_little(firsts.select("first.*")), ["rid", "th"], "left_semi").dropDuplicates(["rid", "th"])
+    reps = rows.where("n > 0").join(little(firsts.select("first.*")), ["rid", "th"], "left_semi").dropDuplicates(["rid", "th"])
     banded = written(reps.select("rid", "th", F.explode("bands").alias("bucket")), f"{folder}/banded")
     shared = banded.groupBy("bucket").agg(F.min(node).alias("c"), F.count("*").alias("members")).where("members > 1")
     shared = written(shared.select("bucket", F.col("c.rid").alias("c_rid"), F.col("c.th").alias("c_th")), f"{folder}/shared")
-    members = written(banded.join(_little(shared), "bucket"), f"{folder}/members")
+    members = written(banded.join(little(shared), "bucket"), f"{folder}/members")
 
     stars = written(members.where("rid <> c_rid OR th <> c_th").select("rid", "th", "c_rid", "c_th").distinct(), f"{folder}/stars")
     label = components(_verified(docs, stars, percent, k, n, f"{folder}/first"), f"{folder}/first/components")
 
-    named = members.select("bucket", node.alias("node")).join(_little(label), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    named = members.select("bucket", node.alias("node")).join(little(label), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     named = written(named, f"{folder}/named")
     open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
     rest = written(named.join(written(open_, f"{folder}/open"), "bucket").select("node.*", "label").distinct(), f"{folder}/rest")
     if not rest.isEmpty():
         last = written(_rest(docs, rest, percent, k, n, f"{folder}/rest-of"), f"{folder}/last")  # from labels to labels
-        moved = label.join(_little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        moved = label.join(little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
         label = written(moved.unionByName(last.join(label.select("node"), "node", "left_anti")), f"{folder}/labels")
 
     known = firsts.join(label.withColumnRenamed("node", "first"), "first", "left").where("copies > 1 OR label IS NOT NULL").select("k1", "k2", "n", F.coalesce("label", "first").alias("known"))
     known = written(known, f"{folder}/known")
-    out = rows.select("rid", "th", "n", "k1", "k2").join(_little(known), ["k1", "k2", "n"], "left")
+    out = rows.select("rid", "th", "n", "k1", "k2").join(little(known), ["k1", "k2", "n"], "left")
     return out.select("rid", "th", "n", F.coalesce(F.when(F.col("n") > 0, F.col("known")), node).alias("label"))
 
 
@@ -369,4 +363,4 @@ def dedup(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
     gone = _grouped(docs, percent, k).where("struct(rid, th) <> label").select(F.col("rid").alias("gone_rid"), F.col("th").alias("gone_th")).distinct()
     gone = written(gone, f"{shared_folder(docs.sparkSession)}/gone")
     rid, th = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(_little(gone), (rid == gone["gone_rid"]) & (th == gone["gone_th"]), "left_anti")
+    return docs.join(little(gone), (rid == gone["gone_rid"]) & (th == gone["gone_th"]), "left_anti")

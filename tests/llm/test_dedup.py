@@ -5,7 +5,7 @@ import pytest
 from corpus import byte_dedup, documents, near_groups, table, word_dedup
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tessera.llm import near_dedup, repeats, substring_dedup, suffix_dedup
+from tessera.llm import common, near_dedup, repeats, substring_dedup, suffix_dedup
 from tessera.llm.arrays import BYTE, Rolling
 from tessera.llm.components import components
 from tessera.llm.repeats import digests_of, merged, segments
@@ -49,7 +49,7 @@ def test_near_copies_about_the_threshold(spark):
 def test_groups_split_into_parts(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "STAR_ROWS", 3)
     monkeypatch.setattr(near_dedup, "GROUP_ROWS", 2)
-    monkeypatch.setattr(near_dedup, "MOST_BROADCAST", 1)
+    monkeypatch.setattr(common, "MOST_BROADCAST", 1)
     docs, rows = documents(spark, 4, 90)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
     assert got == near_groups(rows)

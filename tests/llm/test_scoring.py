@@ -442,6 +442,8 @@ def test_common_stems_in_bounded_memory(monkeypatch, shape):
     r = random.Random(4)
     stem = "which of the following is the best answer"
     items = [(k, f"{stem} {''.join(r.choice('abcdef ') for _ in range(r.choice([5, 20, 40])))}") for k in range(12)]
+    odd = "  A\tb \n c" * 90 + " "
+    assert decontaminate.normal(odd) == " ".join(odd.lower().split())
     texts = [f"{stem} " * 20, f"{stem} " * 3 + items[4][1].upper() + f" {stem}" * 9, "x" * 700 + items[7][1][:-1] + "y" * 200, items[2][1][4:], "z"]
     got = {(t, i): d for t, i, d, _ in decontaminate.Block(items, 0.1).search(texts)}
     want = {}
