@@ -53,6 +53,9 @@ def language_rank(language: Column) -> Column:
     return lookup(language, LANGUAGE_RANKS, OTHER_LANGUAGE)
 
 
+# The weights, caps and thresholds in the functions from here on, which results must have in common with datasets made before.
+
+
 def candidate_score(dp_tag: Column, editorial: Column, metadata: Column) -> Column:
     score = F.when(dp_tag, 1.0).otherwise(0.0) + F.least(F.lit(0.45), 0.15 * _size(editorial)) + F.least(F.lit(0.15), 0.03 * _size(metadata))
     return F.least(score, F.lit(1.5))
