@@ -197,56 +197,91 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("th"), lists.value_lengths().cast(pa.int64()), pa.array(marks, pa.binary())], ["rid", "th", "n", "marks"])
 
 
-def possible(n: np.ndarray, label: np.ndarray, marks: list[np.ndarray], percent: int, best: bool) -> list[tuple[int, int]]:
-    """Pairs of sets with different labels that can be alike by their sizes and parities; best: of a set and one label only the likeliest."""
-    width = np.array([len(m) for m in marks])
-    tables = {}
-    for w in np.unique(width).tolist():  # sets with w words of bits, and those with twice as many folded to w
-        some = np.flatnonzero((width == w) | (width == 2 * w))
-        tables[w] = some, np.stack([marks[i] if width[i] == w else marks[i][:w] ^ marks[i][w:] for i in some.tolist()])
-    out = []
-    for i in range(len(n)):
-        for w in {int(width[i]), int(width[i]) // 2} & tables.keys():
-            some, bits = tables[w]
-            at = np.flatnonzero((some > i) & (label[some] != label[i]) & ((width[some] == w) | (width[i] == w)))
-            at = at[100 * np.minimum(n[some[at]], n[i]) >= percent * np.maximum(n[some[at]], n[i])]
-            if not len(at):
-                continue
-            own = marks[i] if width[i] == w else marks[i][:w] ^ marks[i][w:]
-            apart = np.bitwise_count(bits[at] ^ own).sum(1, dtype=np.int64)
-            # |A xor B| of alike sets is at most (|A| + |B|) * (100 - percent) / (100 + percent)
-            ok = apart * (100 + percent) <= (n[some[at]] + n[i]) * (100 - percent)
-            at, apart = some[at[ok]], apart[ok]
-            if best:
-                order = np.lexsort((apart, label[at]))
-                at = at[order[np.concatenate([[True], np.diff(label[at[order]]) != 0])[: len(order)]]]
-            out += [(i, j) for j in at.tolist()]
-    return out
+#: Pairs looked at together.
+PAIRS = 1 << 19
 
 
-def _meetings(percent: int, best: bool):
-    """Rows sorted by (shingle, i, j), each such group whole: pairs that can be alike, the center being the lesser."""
+def possible(n: np.ndarray, label: np.ndarray, marks: list[bytes], end: np.ndarray, percent: int, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i < j of sets of one group (rows up to end[i]) with different labels that can be alike by their sizes and parities.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+    best: of a set and one label only the likeliest. The third array tells of rows i from which pairs were left out so.
+    """
+    width = np.array([len(m) // 8 for m in marks])
+    read = {v: np.frombuffer(b"".join([marks[i] for i in np.flatnonzero(width == v).tolist()]), U).reshape(-1, v) for v in np.unique(width).tolist()}
+    table = {}
+    for w in read:  # the sets with w words of bits or more, folded to w
+        place, parts = np.zeros(len(n), np.int64), []
+        for v, bits in read.items():
+            if v >= w:
+                place[width == v] = np.arange(len(bits)) + sum(map(len, parts))
+                while bits.shape[1] > w:
+                    bits = bits[:, : bits.shape[1] // 2] ^ bits[:, bits.shape[1] // 2 :]
+                parts.append(bits)
+        table[w] = place, np.concatenate(parts)
+    found, left_out = [], []
+    partners = end - np.arange(len(n)) - 1
+    first = 0
+    total = np.concatenate([[0], np.cumsum(partners)])
+    while first < len(n):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, "right")) - 1)
+        i = np.repeat(np.arange(first, last), partners[first:last])
+        j = np.arange(len(i)) - (total[i] - total[first]) + i + 1
+        first = last
+        ok = label[i] != label[j]
+        i, j = i[ok], j[ok]
+        ok = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        i, j = i[ok], j[ok]
+        both, apart = np.minimum(width[i], width[j]), np.zeros(len(i), np.int64)
+        for w in np.unique(both).tolist():
+            some = np.flatnonzero(both == w)
+            place, bits = table[w]
+            apart[some] = np.bitwise_count(bits[place[i[some]]] ^ bits[place[j[some]]]).sum(1, dtype=np.int64)
+        # |A xor B| of alike sets is at most (|A| + |B|) * (100 - percent) / (100 + percent)
+        ok = apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+        i, j, apart = i[ok], j[ok], apart[ok]
+        if best and len(i):
+            order = np.lexsort((apart, label[j], i))
+            i, j = i[order], j[order]
+            top = np.concatenate([[True], (i[1:] != i[:-1]) | (label[j[1:]] != label[j[:-1]])])
+            left_out.append(i[~top])
+            i, j = i[top], j[top]
+        found.append((i, j))
+    i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    return i, j, np.concatenate(left_out) if left_out else np.zeros(0, np.int64)
 
-        def found() -> pa.RecordBatch:
-            nodes = [(x[0], x[1]) for x in held]
-            label = np.unique([x[2] for x in held], return_inverse=True)[1]
-            pairs = possible(np.array([x[3] for x in held]), label, [np.frombuffer(x[4], U) for x in held], percent, best)
-            rows = [max(nodes[i], nodes[j]) + min(nodes[i], nodes[j]) for i, j in pairs]
-            columns = list(zip(*rows)) or [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rid", "th", "c_rid", "c_th"])
 
+def _meetings(percent: int, best: bool):
+    """Rows sorted by (shingle, i, j), each such group whole: pairs that can be alike, the center being the lesser, and shingles of which pairs were left out."""
+
+    def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        shingle, i, j, rid, th, label, n = (rows.column(c).to_numpy() for c in ("shingle", "i", "j", "rid", "th", "label", "n"))
+        new = np.concatenate([(shingle[1:] != shingle[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True]])
+        edge = np.flatnonzero(new) + 1
+        a, b, more = possible(n, label, rows.column("marks").to_pylist(), edge[np.searchsorted(edge, np.arange(len(n)), "right")], percent, best)
+        swap = (rid[a] < rid[b]) | ((rid[a] == rid[b]) & (th[a] < th[b]))
+        member, center = np.where(swap, b, a), np.where(swap, a, b)
+        more = np.unique(shingle[more])
+        pad = lambda x: pa.concat_arrays([pa.array(x), pa.nulls(len(more), pa.int64())])
+        return pa.RecordBatch.from_arrays([pad(rid[member]), pad(th[member]), pad(rid[center]), pad(th[center]), pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(more)])], ["rid", "th", "c_rid", "c_th", "shingle"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for *own, rid, th, label, n, marks in zip(*(batch.column(c).to_pylist() for c in ("shingle", "i", "j", "rid", "th", "label", "n", "marks"))):
-                if own != key:
-                    if len(held) > 1:
-                        yield found()
-                    key, held = own, []
-                held.append((rid, th, label, n, marks))
-        if len(held) > 1:
-            yield found()
+            if not batch.num_rows:
+                continue
+            key = [batch.column(c).to_numpy() for c in ("shingle", "i", "j")]
+            last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
+            cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on
+            if held and (cut or any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(("shingle", "i", "j"), key))):
+                whole = cut if not any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(("shingle", "i", "j"), key)) else 0
+                yield found([*held, batch.slice(0, whole)])
+                held, batch, cut = [], batch.slice(whole), cut - whole
+            if cut:
+                yield found([batch.slice(0, cut)])
+            held.append(batch.slice(cut))
+        if held:
+            yield found(held)
 
     return run
 
@@ -271,7 +306,7 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
 
     Alike sets share a shingle among their rarest ones, so documents meet at these; boilerplate that many share is rare in none. Of those that meet
     at one, the documents of its most frequent label needn't be compared with each other: they are dealt in parts, and the others go to each.
-    First only the likeliest pair of a document and a label is verified, which joins what can be joined; then every pair of labels that is left.
+    First only the likeliest pair of a document and a label is verified, which joins what can be joined; then, where pairs were left out, all of labels that still differ.
     """
     spark = docs.sparkSession
     sets = texts(docs).join(little(rest.select("rid", "th")), ["rid", "th"]).dropDuplicates(["rid", "th"]).mapInArrow(_set_rows(k), "rid long, th long, shingles array<long>")
@@ -283,11 +318,13 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
     rare = written(rare, f"{folder}/rare")
     twice = rare.groupBy("shingle").count().where("count > 1").select("shingle")
     rare = written(rare.join(written(twice, f"{folder}/twice"), "shingle"), f"{folder}/meeting")
+    more = None
     marks = written(sets.mapInArrow(_marks, "rid long, th long, n long, marks binary"), f"{folder}/marks")
     now, node = rest.select(F.struct("rid", "th").alias("node"), "label"), F.struct("rid", "th")
     for step, best in ((1, True), (2, False)):
         labels = now.select("node.*", F.struct("label.rid", "label.th").alias("label"))
-        named = written(rare.join(little(labels), ["rid", "th"]), f"{folder}/{step}/named")
+        named = rare if more is None else rare.join(little(more), "shingle", "left_semi")
+        named = written(named.join(little(labels), ["rid", "th"]), f"{folder}/{step}/named")
         per = named.groupBy("shingle", "label").count().groupBy("shingle").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.count("*").alias("labels"))
         per = written(per.where("labels > 1").select("shingle", F.col("top.label").alias("most"), F.ceil(F.col("top.count") / GROUP_ROWS).cast("int").alias("p"), F.ceil((F.col("all") - F.col("top.count")) / GROUP_ROWS).cast("int").alias("q")), f"{folder}/{step}/groups")
         dealt = named.join(per, "shingle").withColumn("major", F.col("label") == F.col("most"))
@@ -295,8 +332,10 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
         dealt = dealt.withColumn("part", F.when(F.col("major"), F.pmod(h, "p")).otherwise(F.col("p") + F.pmod(h, "q")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("p") + F.col("q") - 1))).where("IF(major, other >= p, other < p OR other <> part)")
         dealt = dealt.select("shingle", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid", "th", F.xxhash64("label").alias("label")).join(marks, ["rid", "th"])
-        pairs = dealt.repartition(n, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(_meetings(percent, best), "rid long, th long, c_rid long, c_th long").distinct()
-        found = _verified(docs, written(pairs, f"{folder}/{step}/pairs"), percent, k, n, f"{folder}/{step}")
+        pairs = dealt.repartition(n, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(_meetings(percent, best), "rid long, th long, c_rid long, c_th long, shingle long").distinct()
+        pairs = written(pairs, f"{folder}/{step}/pairs")
+        more = pairs.where("shingle IS NOT NULL").select("shingle").distinct()
+        found = _verified(docs, pairs.where("shingle IS NULL").drop("shingle"), percent, k, n, f"{folder}/{step}")
         found = found.join(now.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(now.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
         last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/{step}/components")
         moved = now.join(little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))

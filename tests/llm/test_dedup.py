@@ -172,6 +172,23 @@ def test_null_ids_are_dealt_by_text(spark):
     assert suffix_dedup.digests(docs).count() == substring_dedup.dedup(docs).count() == 400
 
 
+def test_groups_over_batches_are_whole():
+    """Pairs are the same wherever batches end."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    base = near_dedup.mix(np.arange(400).astype(np.uint64))
+    rows = sorted((int(g), 0, int(p), k) for k, (g, p) in enumerate(zip(r.integers(0, 6, 90), r.integers(0, 2, 90))))
+    marks = [near_dedup.parities(np.unique(base[r.integers(0, 12) : 380])).tobytes() for _ in rows]
+    columns = {"shingle": [x[0] for x in rows], "i": [x[1] for x in rows], "j": [x[2] for x in rows], "rid": [x[3] for x in rows], "th": [0] * 90, "label": [k % 4 for k in range(90)], "n": [374] * 90}
+    batch = pa.RecordBatch.from_pydict(columns | {"marks": pa.array(marks, pa.binary())})
+    out = []
+    for size in (1, 7, 30, 90):
+        parts = near_dedup._meetings(80, False)(iter([batch.slice(a, size) for a in range(0, 90, size)]))
+        out.append({tuple(x.values()) for p in parts for x in p.to_pylist()})
+    assert out[0] == out[1] == out[2] == out[3] and len(out[0]) > 100
+
+
 def test_long_texts_in_pieces(spark, monkeypatch):
     """Texts above a piece give the same results as whole ones."""
     from tessera.llm import arrays
@@ -232,9 +249,13 @@ def test_possible_pairs_hold_all_alike_ones(shapes, long):
     step = 60 if long else 1
     sets = [np.unique(near_dedup.mix(np.arange(a * step, (a + 30 + 8 * b) * step).astype(np.uint64))) for a, b, _ in shapes]
     label, n = np.array([c for *_, c in shapes]), np.array([len(s) for s in sets])
-    got = near_dedup.possible(n, label, [near_dedup.parities(s) for s in sets], 80, False)
+    end, marks = np.full(len(n), len(n)), [near_dedup.parities(s).tobytes() for s in sets]
+    i, j, _ = near_dedup.possible(n, label, marks, end, 80, False)
+    got = list(zip(i.tolist(), j.tolist()))
     want = {(i, j) for j in range(len(sets)) for i in range(j) if label[i] != label[j] and near_dedup._alike(sets[i], sets[j], 80)}
-    best = near_dedup.possible(n, label, [near_dedup.parities(s) for s in sets], 80, True)
+    i, j, left_out = near_dedup.possible(n, label, marks, end, 80, True)
+    best = list(zip(i.tolist(), j.tolist()))
+    assert {i for i, _ in set(got) - set(best)} == set(left_out.tolist())
     assert want <= set(got) and len(got) == len(set(got)) and set(best) <= set(got)
     assert {(i, int(label[j])) for i, j in got} == {(i, int(label[j])) for i, j in best}
 
