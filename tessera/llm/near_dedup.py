@@ -386,12 +386,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> Dat
 
     Documents are linked if 100 * intersection >= percent * union of their sets of shingles of k words; component_id is the least id
     reachable, kept says that it is the document's own. Null texts and texts without words have empty sets and are linked with nothing.
-    A null id is the smallest. Rows of one id but different texts are nodes of their own, and kept says that the row's text is the component's first,
-    too. Links are confirmed on whole sets; a link at the threshold is missed as a candidate with a probability of 3e-7, and
+    A null id is the smallest. Rows of one id but different texts are nodes of their own; where they are linked with each other, all are kept here, but
+    dedup() keeps the first text alone. Links are confirmed on whole sets; a link at the threshold is missed as a candidate with a probability of 3e-7, and
     only if no other link of its documents puts both into buckets with others.
     """
     out = _grouped(docs, percent, k)
-    return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("label.rid")).alias("component_id"), (F.struct("rid", "th") == F.col("label")).alias("kept"))
+    return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("label.rid")).alias("component_id"), (F.col("rid") == F.col("label.rid")).alias("kept"))
 
 
 def dedup(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
