@@ -1,16 +1,19 @@
 """Corpus pipeline: quality classifier, near-dedup, suffix-array dedup, decontamination, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next stage's docs.
-All but the last return the columns of documents.
+All but the last return the columns of documents. Stages pass rows to Python in small batches, which bounds an executor's memory over all of them.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, mixing, near_dedup, quality, suffix_dedup
-from tessera.llm.common import shared_folder, table, written
+from tessera.llm.common import shared_folder, small_batches, table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +41,23 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).where("taken > 0")
 
 
+def _stage(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, in a session whose batches are small."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(docs.sparkSession)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("quality classifier", classify),
-    ("MinHash near-dedup", drop_near_duplicates),
-    ("suffix-array dedup", cut_repeats),
-    ("benchmark decontamination", drop_leaks),
-    ("mixing sources to target weights", mix),
+    ("quality classifier", _stage(classify)),
+    ("MinHash near-dedup", _stage(drop_near_duplicates)),
+    ("suffix-array dedup", _stage(cut_repeats)),
+    ("benchmark decontamination", _stage(drop_leaks)),
+    ("mixing sources to target weights", _stage(mix)),
 ]
 
 #: The first stage is a fitted model, which SQL can't express; tests hold the stages against brute force.

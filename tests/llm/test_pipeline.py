@@ -3,8 +3,10 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 from corpus import WORD, byte_dedup, near_groups
 from tessera.llm import decontaminate, queries
+from tessera.llm.common import BATCH_BYTES, BATCH_LIMIT
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -95,6 +97,46 @@ def test_stages_of_odd_rows(spark, tmp_path):
     assert {r.doc_id for r in kept[4]} == {1, 4}
 
 
+def test_batches_to_python_are_small(spark, tmp_path):
+    """However long texts are, no stage passes a worker more than BATCH_BYTES and a row at once (12 MB before); a limit of the session's own holds."""
+    folder, was = f"file://{tmp_path}/t", spark.conf.get(BATCH_LIMIT, None)
+    corpus(spark, folder)
+    row = 20_000
+    docs = spark.range(0, 600, 1, 1).selectExpr("id AS doc_id", f"rpad(concat('word', id, ' '), {row}, 'some more ') AS text", "'en' AS lang", "'s' AS source", f"{row}L AS n_chars")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    try:
+        for stage in (0, 3):
+            for own, most in ((None, BATCH_BYTES), (str(1 << 18), 1 << 18)):
+                spark.conf.unset(BATCH_LIMIT)
+                if own:
+                    spark.conf.set(BATCH_LIMIT, own)
+                got = corpus_pipeline.STAGES[stage][1](spark, docs, folder).mapInArrow(sizes, "n long, size long").collect()
+                assert sum(x.n for x in got) == 600 and max(x.size for x in got) <= 1.1 * most + 2 * row
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+        if was:
+            spark.conf.set(BATCH_LIMIT, was)
+
+
+def test_batches_change_no_result(spark, tmp_path):
+    """All stages, with a batch for each row or two, as with whole partitions in one."""
+    folder, was, got = f"file://{tmp_path}/t", spark.conf.get(BATCH_LIMIT, None), []
+    corpus(spark, folder)
+    try:
+        for most in ("300", str(1 << 26)):
+            spark.conf.set(BATCH_LIMIT, most)
+            got.append(sorted((r.doc_id, r.size, r.target, r.taken) for r in corpus_pipeline.run(spark, folder).collect()))
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+        if was:
+            spark.conf.set(BATCH_LIMIT, was)
+    assert got[0] == got[1] and got[0]
+
+
 def test_every_query_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
