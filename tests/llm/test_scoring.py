@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import LOWER, WORD, best_edits, documents, table
 from tessera.llm import decontaminate, fingerprints, language, licenses, mixing, quality, token_counts
@@ -60,6 +61,61 @@ def test_tokens_beyond_the_trie_as_brute_force(monkeypatch):
     assert len(trie.score) <= 1 + 7 * 20 and trie.insert("a" * 200_000)[0] == 200_000
 
 
+def test_pretokens_in_arrays_as_the_regex(monkeypatch):
+    """Rows are split as PATTERN does, however they are cut into pieces, and empty rows have none."""
+    import regex
+
+    r = random.Random(7)
+    units = ["'", "'s", "'re", "'ve", "'ll", "'m", "'d", "'t", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "\0", "a", "s", "l", "v", "e", "é", "1", "²", ".", "!", "🙂", "中", "\u0301"]
+    for piece in (1, 7, 1 << 20):
+        monkeypatch.setattr(token_counts, "PIECE", piece)
+        for _ in range(300):
+            rows = ["".join(r.choices(units, k=r.choice([0, 1, 2, 5, 30]))) for _ in range(r.choice([1, 3, 8]))]
+            for pattern in (token_counts.PATTERN, r"\w+"):
+                found, each = token_counts.pretokens(*utf8(pa.array([None, *rows])), pattern)
+                want = [regex.findall(pattern, x) for x in ["", *rows]]
+                assert each.tolist() == [len(x) for x in want]
+                assert [x.decode() for x in found.to_pylist()] == [x for row in want for x in row]
+
+
+@pytest.mark.parametrize("most", [0, 3000, 400_000])
+def test_nodes_are_made_together(monkeypatch, most):
+    """A block's pre-tokens cost a step for each depth, not one for each byte, and count as those inserted alone."""
+    logp = {bytes([b]): -6.0 - b / 500 for b in range(256)} | {b"ab": -5.5, b"abc": -7.0, b"cab": -6.2, b"abcabc": -9.0, b"b\xc3\xa9": -8.0, b"aa": -12.4}
+    v, r = token_counts.Vocabulary(logp), random.Random(2)
+    found = [" ".join("".join(r.choices("abcé", k=r.choice([1, 3, 8, 20]))) for _ in range(1000)) for _ in range(3)]
+    rows = [*found, None, "a" * 300 + "b", found[0]]
+    import regex
+
+    alone, trie, steps = token_counts.Trie(v), token_counts.Trie(v), []
+    before = trie.endings.before
+    monkeypatch.setattr(trie.endings, "before", lambda *x: steps.append(1) or before(*x))
+    for block in ([0, 1], [2], [3, 4], [5]):
+        flat, at = utf8(pa.array([rows[i] for i in block], pa.string()))
+        got = token_counts._counted(trie, flat, at, v.pattern, most)
+        for k, i in enumerate(block):
+            each = Counter(regex.findall(v.pattern, rows[i] or ""))
+            n = {p: alone.insert(p) for p in each}
+            assert all(n[p][0] == brute_tokens(p.encode(), logp)[0] for p in list(n)[:50])
+            assert tuple(x[k] for x in got[:3]) == (each.total(), len(each), sum(n[p][0] * each[p] for p in each))
+            assert math.isclose(got[3][k], sum(n[p][1] * each[p] for p in each), rel_tol=1e-12)
+    assert len(steps) <= 4 * 41 * 6 and len(trie.score) <= 1 + token_counts.DEPTH  # 41 bytes at most of all but one, and six of a piece
+
+
+@pytest.mark.parametrize("pattern", [token_counts.PATTERN, r"\w+"])
+def test_a_row_above_a_block_counts_as_whole(monkeypatch, pattern):
+    r, logp = random.Random(3), {bytes([b]): -6.0 for b in range(256)} | {b" ab": -3.0, b"ab": -4.0}
+    trie = token_counts.Trie(token_counts.Vocabulary(logp, pattern))
+    text = "".join(r.choices([" ab", "ab", " \n", "é", "1", "'s"], k=3000)) + " " + "x" * 500 + " ab \n"
+    flat, at = utf8(pa.array([text]))
+    whole = token_counts._counted(trie, flat, at, pattern, 400_000)
+    for piece in (16, 100, 5000):
+        monkeypatch.setattr(token_counts, "BLOCK", 1000)
+        monkeypatch.setattr(token_counts, "PIECE", piece)
+        trie.clear()
+        assert [x.tolist() for x in token_counts._counted(trie, flat, at, pattern, 400_000)] == [x.tolist() for x in whole]
+
+
 def test_vocabulary_from_ranks(tmp_path):
     path = tmp_path / "v"
     path.write_text("YQ== 0\nYWI= 1\n")
