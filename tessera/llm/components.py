@@ -20,16 +20,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, folder: str) -> DataFrame:
+def components(edges: DataFrame, folder: str, rows: int | None = None) -> DataFrame:
     """(node, label) of all nodes but the least of each component, whose label is the least node; edges: (u, v) of any type in order, either way round.
 
-    Loops are passed over. The number of rounds grows with the logarithm of a component's size.
+    rows: how many edges there are at most, if that is known. Loops are passed over. The number of rounds grows with the logarithm of a component's size.
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges, last, step = written(edges, f"{folder}/0"), None, 0
+    edges, last, step = written(edges, f"{folder}/0", rows), None, 0
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == last or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
         last, step = now, step + 1
-        edges = written(_small_star(_large_star(edges).distinct()), f"{folder}/{step}")
+        edges = written(_small_star(_large_star(edges).distinct()), f"{folder}/{step}", now[0])

@@ -292,13 +292,14 @@ STAR_ROWS, GROUP_ROWS = 2_000, 2_000
 
 def _verified(docs: DataFrame, stars: DataFrame, percent: int, k: int, n: int, path: str) -> DataFrame:
     """(u, v) of the rows (rid, th, c_rid, c_th) of stars whose member and center are alike, by whole sets. Stars with many members are salted."""
+    most = stars.count()
     salts = stars.groupBy("c_rid", "c_th").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("salts"))
-    salts = written(salts, f"{path}/salts")
+    salts = written(salts, f"{path}/salts", most)
     spokes = stars.join(salts, ["c_rid", "c_th"]).select("rid", "th", "c_rid", "c_th", F.pmod(F.hash("rid", "th"), "salts").alias("salt"), F.lit(True).alias("member"))
     hubs = salts.select(F.col("c_rid").alias("rid"), F.col("c_th").alias("th"), "c_rid", "c_th", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("member"))
-    wanted = written(spokes.unionByName(hubs), f"{path}/wanted")
+    wanted = written(spokes.unionByName(hubs), f"{path}/wanted", 2 * most)
     routed = texts(docs).join(little(wanted), ["rid", "th"]).repartition(n, "c_rid", "c_th", "salt").sortWithinPartitions("c_rid", "c_th", "salt", "member")
-    return written(routed.mapInArrow(_verify_stars(percent, k), LINK).distinct(), f"{path}/links")
+    return written(routed.mapInArrow(_verify_stars(percent, k), LINK).distinct(), f"{path}/links", most)
 
 
 def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder: str) -> DataFrame:
@@ -317,8 +318,8 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
     rare = sets.mapInArrow(_prefixes(percent, spark.sparkContext.broadcast(counts)), "rid long, th long, shingle long")
     rare = written(rare, f"{folder}/rare")
     twice = rare.groupBy("shingle").count().where("count > 1").select("shingle")
-    rare = written(rare.join(written(twice, f"{folder}/twice"), "shingle"), f"{folder}/meeting")
-    more = None
+    rare = written(rare.join(written(twice, f"{folder}/twice", rare.count()), "shingle"), f"{folder}/meeting")
+    more, many = None, rest.count()
     marks = written(sets.mapInArrow(_marks, "rid long, th long, n long, marks binary"), f"{folder}/marks")
     now, node = rest.select(F.struct("rid", "th").alias("node"), "label"), F.struct("rid", "th")
     for step, best in ((1, True), (2, False)):
@@ -326,7 +327,7 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
         named = rare if more is None else rare.join(little(more), "shingle", "left_semi")
         named = written(named.join(little(labels), ["rid", "th"]), f"{folder}/{step}/named")
         per = named.groupBy("shingle", "label").count().groupBy("shingle").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.count("*").alias("labels"))
-        per = written(per.where("labels > 1").select("shingle", F.col("top.label").alias("most"), F.ceil(F.col("top.count") / GROUP_ROWS).cast("int").alias("p"), F.ceil((F.col("all") - F.col("top.count")) / GROUP_ROWS).cast("int").alias("q")), f"{folder}/{step}/groups")
+        per = written(per.where("labels > 1").select("shingle", F.col("top.label").alias("most"), F.ceil(F.col("top.count") / GROUP_ROWS).cast("int").alias("p"), F.ceil((F.col("all") - F.col("top.count")) / GROUP_ROWS).cast("int").alias("q")), f"{folder}/{step}/groups", named.count())
         dealt = named.join(per, "shingle").withColumn("major", F.col("label") == F.col("most"))
         h = F.xxhash64("rid", "th")
         dealt = dealt.withColumn("part", F.when(F.col("major"), F.pmod(h, "p")).otherwise(F.col("p") + F.pmod(h, "q")).cast("int"))
@@ -336,16 +337,17 @@ def _rest(docs: DataFrame, rest: DataFrame, percent: int, k: int, n: int, folder
         pairs = written(pairs, f"{folder}/{step}/pairs")
         more = pairs.where("shingle IS NOT NULL").select("shingle").distinct()
         found = _verified(docs, pairs.where("shingle IS NULL").drop("shingle"), percent, k, n, f"{folder}/{step}")
+        links = found.count()
         found = found.join(now.select(F.col("node").alias("u"), F.col("label").alias("lu")), "u").join(now.select(F.col("node").alias("v"), F.col("label").alias("lv")), "v")
-        last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/{step}/components")
+        last = components(found.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"{folder}/{step}/components", links)
         moved = now.join(little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        now = written(moved, f"{folder}/{step}/labels")
+        now = written(moved, f"{folder}/{step}/labels", many)
     was = rest.select(node.alias("node"), F.col("label").alias("old"))
     return now.join(was, "node").where("label <> old").select(F.col("old").alias("node"), "label").distinct()
 
 
-def _grouped(docs: DataFrame, percent: int, k: int) -> DataFrame:
-    """(rid, th, n, label): one row for each row; label is the least (rid, th) reachable, the row's own where it is linked with nothing.
+def _grouped(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, int]:
+    """(rid, th, n, label) and how many rows: one row for each row; label is the least (rid, th) reachable, the row's own where it is linked with nothing.
 
     Equal sets are collapsed first. Of each bucket of a band the least document is the center of a star, and each other member a
     candidate with it alone. Where a bucket's members aren't all connected by the links so confirmed, its documents are searched for links
@@ -355,30 +357,33 @@ def _grouped(docs: DataFrame, percent: int, k: int) -> DataFrame:
     folder = shared_folder(spark)
     n = pieces(docs)
     rows = written(texts(docs).mapInArrow(_sketch(k), "rid long, th long, n long, k1 long, k2 long, bands array<long>"), f"{folder}/rows")
-    node = F.struct("rid", "th")
-    firsts = written(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(node).alias("first"), F.count("*").alias("copies")), f"{folder}/firsts")
+    node, many = F.struct("rid", "th"), rows.count()
+    firsts = written(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(node).alias("first"), F.count("*").alias("copies")), f"{folder}/firsts", many)
     reps = rows.where("n > 0").join(little(firsts.select("first.*")), ["rid", "th"], "left_semi").dropDuplicates(["rid", "th"])
-    banded = written(reps.select("rid", "th", F.explode("bands").alias("bucket")), f"{folder}/banded")
+    banded = written(reps.select("rid", "th", F.explode("bands").alias("bucket")), f"{folder}/banded", BANDS * many)
+    keys = banded.count()
     shared = banded.groupBy("bucket").agg(F.min(node).alias("c"), F.count("*").alias("members")).where("members > 1")
-    shared = written(shared.select("bucket", F.col("c.rid").alias("c_rid"), F.col("c.th").alias("c_th")), f"{folder}/shared")
-    members = written(banded.join(little(shared), "bucket"), f"{folder}/members")
+    shared = written(shared.select("bucket", F.col("c.rid").alias("c_rid"), F.col("c.th").alias("c_th")), f"{folder}/shared", keys // 2)
+    members = written(banded.join(little(shared), "bucket"), f"{folder}/members", keys)
 
-    stars = written(members.where("rid <> c_rid OR th <> c_th").select("rid", "th", "c_rid", "c_th").distinct(), f"{folder}/stars")
-    label = components(_verified(docs, stars, percent, k, n, f"{folder}/first"), f"{folder}/first/components")
+    most = members.count()
+    stars = written(members.where("rid <> c_rid OR th <> c_th").select("rid", "th", "c_rid", "c_th").distinct(), f"{folder}/stars", most)
+    links = _verified(docs, stars, percent, k, n, f"{folder}/first")
+    label = components(links, f"{folder}/first/components", links.count())
 
     named = members.select("bucket", node.alias("node")).join(little(label), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    named = written(named, f"{folder}/named")
+    named = written(named, f"{folder}/named", most)
     open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    rest = written(named.join(written(open_, f"{folder}/open"), "bucket").select("node.*", "label").distinct(), f"{folder}/rest")
+    rest = written(named.join(written(open_, f"{folder}/open", most // 2), "bucket").select("node.*", "label").distinct(), f"{folder}/rest", most)
     if not rest.isEmpty():
-        last = written(_rest(docs, rest, percent, k, n, f"{folder}/rest-of"), f"{folder}/last")  # from labels to labels
+        last = written(_rest(docs, rest, percent, k, n, f"{folder}/rest-of"), f"{folder}/last", many)  # from labels to labels
         moved = label.join(little(last.select(F.col("node").alias("label"), F.col("label").alias("to"))), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        label = written(moved.unionByName(last.join(label.select("node"), "node", "left_anti")), f"{folder}/labels")
+        label = written(moved.unionByName(last.join(label.select("node"), "node", "left_anti")), f"{folder}/labels", many)
 
     known = firsts.join(label.withColumnRenamed("node", "first"), "first", "left").where("copies > 1 OR label IS NOT NULL").select("k1", "k2", "n", F.coalesce("label", "first").alias("known"))
-    known = written(known, f"{folder}/known")
+    known = written(known, f"{folder}/known", many)
     out = rows.select("rid", "th", "n", "k1", "k2").join(little(known), ["k1", "k2", "n"], "left")
-    return out.select("rid", "th", "n", F.coalesce(F.when(F.col("n") > 0, F.col("known")), node).alias("label"))
+    return out.select("rid", "th", "n", F.coalesce(F.when(F.col("n") > 0, F.col("known")), node).alias("label")), many
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
@@ -390,7 +395,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> Dat
     dedup() keeps the first text alone. Links are confirmed on whole sets; a link at the threshold is missed as a candidate with a probability of 3e-7, and
     only if no other link of its documents puts both into buckets with others.
     """
-    out = _grouped(docs, percent, k)
+    out, _ = _grouped(docs, percent, k)
     return out.select(id_of(F.col("rid")), F.col("n").alias("n_shingles"), id_of(F.col("label.rid")).alias("component_id"), (F.col("rid") == F.col("label.rid")).alias("kept"))
 
 
@@ -399,7 +404,8 @@ def dedup(docs: DataFrame, percent: int = 80, k: int = SHINGLE) -> DataFrame:
 
     Rows equal in id and text are one document and stay or go together; rows of one id with unlike texts are told apart.
     """
-    gone = _grouped(docs, percent, k).where("struct(rid, th) <> label").select(F.col("rid").alias("gone_rid"), F.col("th").alias("gone_th")).distinct()
-    gone = written(gone, f"{shared_folder(docs.sparkSession)}/gone")
+    rows, many = _grouped(docs, percent, k)
+    gone = rows.where("struct(rid, th) <> label").select(F.col("rid").alias("gone_rid"), F.col("th").alias("gone_th")).distinct()
+    gone = written(gone, f"{shared_folder(docs.sparkSession)}/gone", many)
     rid, th = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
     return docs.join(little(gone), (rid == gone["gone_rid"]) & (th == gone["gone_th"]), "left_anti")

@@ -277,3 +277,30 @@ def test_components_of_a_chain_and_a_star(spark, tmp_path):
     got = dict(components(spark.createDataFrame(edges, "u long, v long"), f"file://{tmp_path}/c").collect())
     assert got == {i: 1 for i in range(2, 21)} | {k: 100 for k in range(101, 130)}
     assert components(spark.createDataFrame([], "u long, v long"), f"file://{tmp_path}/e").collect() == []
+
+
+def test_tables_of_keys_have_few_files(spark, tmp_path, monkeypatch):
+    """Where a session doesn't join small shuffle partitions, tables of a few keys and labels still are a file each (up to one a partition before)."""
+    monkeypatch.setattr(near_dedup, "shared_folder", lambda _: f"file://{tmp_path}/t")
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {c: spark.conf.get(c) for c in held}
+    rows = [(i, " ".join(f"w{k}" if k != 3 * i else "v" for k in range(120)), "en", "s") for i in range(12)]
+    try:
+        for c, x in held.items():
+            spark.conf.set(c, x)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(table(spark, rows)).collect()}
+    finally:
+        for c, x in was.items():
+            spark.conf.set(c, x)
+    assert got == near_groups(rows) and {g[1] for g in got.values()} == {0}
+    files = {t: len(list((tmp_path / "t" / t).glob("part-*"))) for t in ("firsts", "stars", "first/salts", "first/links", "first/components/0", "first/components/1", "known")}
+    assert set(files.values()) == {1}, str(files)
+
+
+def test_files_by_rows(spark, tmp_path, monkeypatch):
+    """A table whose rows are counted has a file for each FILE_ROWS of them, any other one for each partition; no row is lost."""
+    monkeypatch.setattr(common, "FILE_ROWS", 10)
+    docs = spark.range(0, 95, 1, 24)
+    for rows, files in ((95, 10), (0, 1), (None, 24), (10_000, 24)):
+        got = common.written(docs, f"file://{tmp_path}/{rows}", rows)
+        assert sorted(r.id for r in got.collect()) == list(range(95)) and len(list((tmp_path / str(rows)).glob("part-*"))) == files
