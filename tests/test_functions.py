@@ -70,6 +70,27 @@ def test_patterns_as_python(spark):
     assert list(got) == [sum(len(re.findall(p, code)) for p in ps) for ps in P.CODE_COUNTS.values()]
 
 
+def test_patterns_are_tried_where_their_literals_are(spark):
+    """What is needed is in whatever a pattern matches, so a search for it loses nothing; without it a category costs no regular expression."""
+    assert P.needed(r"\bweight\b.{0,80}\bcapacity\b") == [["capacity"], ["weight"]] and P.needed(r"\breroot(?:ing)?\b") == [["reroot"]] and P.needed(r"\w+|x") == []
+    assert P.needed(r"\b(?:memo|cache)\s*(?:\[|\()") == [["cache", "memo"]] or P.needed(r"\b(?:memo|cache)\s*(?:\[|\()") == [["memo", "cache"]]
+    tables = [*P.FAMILIES.values(), *P.OPTIMIZATIONS.values(), *P.STATES.values(), *P.CODE_COUNTS.values()]
+    assert all(P.needed(p) for ps in [*tables, list(P.CODE_SIGNALS.values())] for p in ps)
+    # every character that a pattern in any case takes for a letter of ASCII is one in the folded text
+    df = spark.range(0x80, 0x110000).where("id < 55296 OR id > 57343").select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    got = {r.c: r.f for r in df.where(F.col("c").rlike(P.FLAGS_ANY_CASE + "[a-z]") | F.col("c").rlike(P.FLAGS_ANY_CASE + "s|k|i")).select("c", P.folded(F.col("c")).alias("f")).collect()}
+    assert got == {"\u017f": "s", "\u0131": "i", "\u0130": "i", "\u212a": "k"}
+    texts = ["\u212aNAPSACK", "INDE\u0130X", "\u0130NDEX", "po\u017fition", "nımx nım", "DAG", "Sos dp", "english lists", None, ""]
+    for table in (P.FAMILIES, P.STATES):
+        plain = [(n, F.col("t").rlike(P.FLAGS_ANY_CASE + "|".join(f"(?:{p})" for p in ps))) for n, ps in table.items()]
+        got = values(spark, [P.categories(F.col("t"), table), P.labels(plain)], [(t,) for t in texts], "t string")
+        assert all(a == b for a, b in got) and sum(len(a) for a, _ in got) >= 2
+    codes = ["int dp[5]; dp[i] = max(dp[i-1], 2);", "l to r", "l\nr", "1LL << 3", "", None]
+    plain = {n: sum(F.regexp_count(F.col("t"), F.lit(P.FLAGS + p)) for p in ps) for n, ps in P.CODE_COUNTS.items()}
+    got = values(spark, [F.struct(*P.code_counts(F.col("t")).values()), F.struct(*plain.values())], [(t,) for t in codes], "t string")
+    assert all(tuple(a) == tuple(b) for a, b in got)
+
+
 def test_candidates_scores_and_tiers(spark):
     rows = [(True, ["a"] * 5, ["t"] * 9), (False, ["a"], []), (False, [], ["t"] * 5), (False, [], ["t"] * 4), (False, None, None)]
     score = K.candidate_score(F.col("d"), F.col("e"), F.col("m"))

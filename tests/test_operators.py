@@ -103,6 +103,25 @@ def test_taxonomy_ranks_and_names(spark):
     assert b.families == ["grid"] and b.primary_family is None and b.dimensions == ["grid"] and b.transition_style == ["unknown"] and b.dp_evidence_level == "metadata_only"
 
 
+def test_texts_of_one_row_group_are_dealt_to_tasks(spark, tmp_path):
+    """A file of one row group is read by one task, however many pieces Spark cuts it into: the work on texts isn't left to it."""
+    rows = [problem(f"{k}/A", "Tree DP", f"text {k} " + "x" * 5000, 5, ["dp"]) for k in range(400)]
+    spark.createDataFrame(rows, PROBLEM).coalesce(1).write.parquet(f"{tmp_path}/p")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        df = spark.read.parquet(f"{tmp_path}/p")
+        assert df.rdd.getNumPartitions() >= 4
+        tasks = lambda x: x.select(F.spark_partition_id().alias("p")).groupBy("p").count()
+        assert tasks(df).count() == 1
+        cands = signals.candidates(df)
+        none = spark.createDataFrame([], "problem_id string, accepted_solution_count long, best_solution_score double, signal_counts map<string, bigint>, solutions array<struct<source_id: string, language: string, signals: array<string>, score: double>>")
+        for made in (canonical.canonical_records(df), canonical.prepared(df), taxonomy.taxonomy(cands, signals.evidence(cands, none))):
+            assert tasks(made).count() >= 4 and made.count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
 def test_pool_raises_where_a_group_is_missing(spark, near):
     df, canon = near
     cands = signals.candidates(df.withColumn("tags", F.array(F.lit("dp"))))
