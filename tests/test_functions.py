@@ -3,11 +3,12 @@
 import re
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tessera.functions import concept_json, patterns as P, scoring as K, text as X
+from tessera.functions import concept_json, patterns as P, scoring as K, text as X, word_sets as W
 
 
 def values(spark, columns, rows, schema):
@@ -44,6 +45,28 @@ def test_tokens_and_shingles(spark):
     assert len(got[4][1]) == 6 == got[4][2]
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(TRICKY, st.lists(st.sampled_from("the DP tree_2 x aa bb ﬀi \u212an \u0130n é".split()), max_size=12).map(" ".join), st.just("q" * 63 + "Z é " + "q" * 70), st.none()), min_size=20, max_size=40))
+def test_word_sets_are_those_of_tokens(spark, texts):
+    """Equal hashes for equal words and runs alone, over all texts, whatever piece they are in."""
+    df = spark.createDataFrame([(str(i), t, t) for i, t in enumerate(texts)], "problem_id string, body string, title string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(W, "PIECE", 100)
+        batch = pa.Table.from_pandas(df.toPandas()).combine_chunks().to_batches()[0]
+        got = [r for b in W.word_sets()(iter([batch])) for r in b.to_pylist()]
+    plain = df.select(F.col("problem_id").cast("int").alias("i"), X.plain_words(F.col("body")).alias("p"))
+    rows = X.barrier(plain, "p").select("i", X.tokens(F.col("p")).alias("w"), X.shingles(X.tokens(F.col("p"))).alias("s")).orderBy("i").collect()
+    assert [r["problem_id"] for r in got] == [str(i) for i in range(len(texts))]
+    known = {}
+    for g, r in zip(got, rows):
+        assert len(g["words"]) == len(r.w) and set(g["title_set"]) == set(g["word_set"]) == set(g["words"]) and len(g["word_set"]) == len(set(r.w)) and len(g["shingle_set"]) == len(r.s)
+        assert all(known.setdefault(w, h) == h for w, h in zip(r.w, g["words"]))
+    assert len({*known.values()}) == len(known)
+    for g, r in zip(got, rows):
+        for h, o in zip(got, rows):
+            assert len({*g["shingle_set"]} & {*h["shingle_set"]}) == len({*r.s} & {*o.s})
+
+
 def test_barrier_computes_once(spark):
     df = spark.createDataFrame([("a b",)], "t string").select(F.regexp_replace("t", "b", "c").alias("t"))
     df = X.barrier(df, "t").select(F.concat("t", "t", "t"))
