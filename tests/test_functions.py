@@ -99,11 +99,12 @@ def test_patterns_are_tried_where_their_literals_are(spark):
     assert P.needed(r"\b(?:memo|cache)\s*(?:\[|\()") == [["cache", "memo"]] or P.needed(r"\b(?:memo|cache)\s*(?:\[|\()") == [["memo", "cache"]]
     tables = [*P.FAMILIES.values(), *P.OPTIMIZATIONS.values(), *P.STATES.values(), *P.CODE_COUNTS.values()]
     assert all(P.needed(p) for ps in [*tables, list(P.CODE_SIGNALS.values())] for p in ps)
+    assert [P.longest_word(p) for p in (r"\bsubset sum\b", r"\bSOS DP\b", r"\b0[/ -]?1 knapsack\b", r"\breroot(?:ing)?\b", r"(?:a|b)c ef", r"(?:ab|cd)")] == ["subset", "sos", "knapsack", "reroot", "ef", None]
     # every character that a pattern in any case takes for a letter of ASCII is one in the folded text
     df = spark.range(0x80, 0x110000).where("id < 55296 OR id > 57343").select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
     got = {r.c: r.f for r in df.where(F.col("c").rlike(P.FLAGS_ANY_CASE + "[a-z]") | F.col("c").rlike(P.FLAGS_ANY_CASE + "s|k|i")).select("c", P.folded(F.col("c")).alias("f")).collect()}
     assert got == {"\u017f": "s", "\u0131": "i", "\u0130": "i", "\u212a": "k"}
-    texts = ["\u212aNAPSACK", "INDE\u0130X", "\u0130NDEX", "po\u017fition", "nımx nım", "DAG", "Sos dp", "english lists", None, ""]
+    texts = ["\u212aNAPSACK", "INDE\u0130X", "\u0130NDEX", "po\u017fition", "nımx nım", "DAG", "Sos dp", "english lists", "édp tree dp", "tree-dp\tTREE DP", "state transitions, state transition", "dp[l][r]", "[dp [ l ][r ]]", "1<<x", "a1<<x", "grid and\ndp, grid dp", "0/1 KNAPSACK", None, ""]
     for table in (P.FAMILIES, P.STATES):
         plain = [(n, F.col("t").rlike(P.FLAGS_ANY_CASE + "|".join(f"(?:{p})" for p in ps))) for n, ps in table.items()]
         got = values(spark, [P.categories(F.col("t"), table), P.labels(plain)], [(t,) for t in texts], "t string")
