@@ -60,6 +60,14 @@ def test_queries_without_sql(spark):
     assert {r.source_id: r.status for r in catalog.QUERIES["judged"](spark, SF).collect()} == {"1": "PASSED_EXACT", "2": "WRONG_ANSWER", "3": "RE", "4": "UNSUPPORTED_LANGUAGE"}
 
 
+def test_no_statements_are_staged(spark, monkeypatch):
+    """A problem's statement, as long as its text, would be written once for each of its solutions."""
+    seen = []
+    monkeypatch.setattr(catalog, "staged", lambda df: seen.append(df.columns) or staged(df))
+    assert catalog.examples_of(spark, SF).columns == ["split", "messages", "metadata"]
+    assert seen and not any("statement" in columns for columns in seen)
+
+
 def test_every_query_names_one_function():
     assert len(catalog.QUERIES) == len({*map(id, catalog.QUERIES.values())}) and set(catalog.ORACLES) <= set(catalog.QUERIES)
 

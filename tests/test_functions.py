@@ -36,6 +36,11 @@ def test_normal_forms_as_python(spark, texts):
         assert py_canonical(canonical) == canonical
 
 
+def test_ends_are_stripped_as_by_python(spark):
+    texts = ["", " ", "a", " a", "a\u3000", "\x1ca b\x1f", "a" + " " * 9 + "b", "\n\U0001f600 ", "\u200ba", None]
+    assert values(spark, [X.strip(F.col("t"))], [(t,) for t in texts], "t string") == [(t if t is None else t.strip(),) for t in texts]
+
+
 def test_tokens_and_shingles(spark):
     p = X.plain_words(F.col("t"), compose=False)
     rows = [("The DP of a Tree, in_place! x y2",), ("",), (None,), ("aa bb cc dd ee",), ("aa bb cc dd ee ff aa bb cc dd ee",)]
