@@ -50,6 +50,14 @@ def test_near_duplicates_and_relationships(spark, near):
     assert groups["2/C"] == ("exact_0001", "exact_duplicate_group") and groups["3/D"] == ("problem_3/D", "independent_problem")
 
 
+def test_words_in_order_are_not_staged(near, monkeypatch):
+    """All words of all problems would take more room than their texts, and only those of likely pairs are counted."""
+    seen = []
+    monkeypatch.setattr(canonical, "staged", lambda df: seen.append(df.columns) or tables.staged(df))
+    assert canonical.near_duplicates(*near).count() == 3
+    assert ["problem_id", "title_set", "shingle_set", "word_set"] in seen and not any("words" in columns for columns in seen)
+
+
 def test_postings_cut(spark):
     shared = "alpha beta gamma delta epsilon zeta"
     rows = [problem(f"{k:03}/A", "", f"{shared} unique{k}") for k in range(41)]
